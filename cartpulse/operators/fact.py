@@ -15,8 +15,7 @@ joins whose hot keys adaptive execution splits.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +23,7 @@ from pyspark.sql import functions as F
 from cartpulse.functions import times
 from cartpulse.functions.measures import money_units
 from cartpulse.operators.imputation import impute
-from cartpulse.schemas import FACT
+from cartpulse.schemas import FACT, INPUTS
 
 TIMESTAMPS = (
     "order_purchase_timestamp",
@@ -56,18 +55,22 @@ PRODUCT_FIELDS = ("product_category_name", "product_category_name_english", "pro
 SELLER_FIELDS = ("seller_city", "seller_state", "seller_zip_code_prefix")
 
 
-@dataclass(frozen=True)
 class Inputs:
-    """The eight input tables."""
+    """The eight input tables; given as functions they are opened on first use."""
 
-    orders: DataFrame
-    order_items: DataFrame
-    products: DataFrame
-    customers: DataFrame
-    sellers: DataFrame
-    order_payments: DataFrame
-    order_reviews: DataFrame
-    category_translation: DataFrame
+    def __init__(self, **tables: DataFrame | Callable[[], DataFrame]) -> None:
+        unknown = set(tables) ^ set(INPUTS)
+        if unknown:
+            raise ValueError(f"inputs do not match the eight tables: {sorted(unknown)}")
+        self._tables = tables
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._tables:
+            raise AttributeError(name)
+        found = self._tables[name]
+        if not isinstance(found, DataFrame):
+            found = self._tables[name] = found()
+        return found
 
 
 def payments_per_order(payments: DataFrame) -> DataFrame:
@@ -130,10 +133,13 @@ def _join_order_side(base: DataFrame, inputs: Inputs, wanted: set[str]) -> DataF
                 inputs.customers.select("customer_id", *CUSTOMER_FIELDS), "customer_id", "left"
             )
         base = base.join(orders.select("order_id", *_ordered(order_side)), "order_id", "left")
-    if wanted.intersection(PAYMENT_FIELDS):
-        base = base.join(payments_per_order(inputs.order_payments), "order_id", "left")
-    if wanted.intersection(REVIEW_FIELDS):
-        base = base.join(latest_reviews(inputs.order_reviews), "order_id", "left")
+    paid, reviewed = wanted.intersection(PAYMENT_FIELDS), wanted.intersection(REVIEW_FIELDS)
+    if paid:
+        payments = payments_per_order(inputs.order_payments)
+        base = base.join(payments.select("order_id", *_ordered(paid)), "order_id", "left")
+    if reviewed:
+        reviews = latest_reviews(inputs.order_reviews)
+        base = base.join(reviews.select("order_id", *_ordered(reviewed)), "order_id", "left")
     return base
 
 

@@ -206,7 +206,7 @@ def loyalty_rfm(mart: Mart, once_per_order: bool = False) -> DataFrame:
 
 
 def customer_loyalty_rfm(mart: Mart) -> DataFrame:
-    return models.with_clusters(loyalty_rfm(mart))
+    return models.with_clusters(timestamps_to_text(loyalty_rfm(mart)))
 
 
 def geographic_analysis(mart: Mart) -> DataFrame:

@@ -6,16 +6,30 @@ warehouse rely on them.
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
+
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "timestamp": T.TimestampType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
 
 
-def _contract(ddl: str) -> StructType:
-    return StructType.fromDDL(ddl)
+def _contract(columns: str) -> T.StructType:
+    # needs no session, unlike StructType.fromDDL
+    contract = T.StructType()
+    for column in columns.split(","):
+        name, kind = column.split()
+        contract.add(name, _TYPES[kind])
+    return contract
 
 
 # ---------------------------------------------------------------- inputs (fixed values)
 
-INPUTS: dict[str, StructType] = {
+INPUTS: dict[str, T.StructType] = {
     "orders": _contract(
         "order_id string, customer_id string, order_status string,"
         " order_purchase_timestamp timestamp_ntz, order_approved_at timestamp_ntz,"
@@ -77,7 +91,7 @@ _TREND = (
     " avg_review_score double, batch_time timestamp, ingested_date string"
 )
 
-TABLES: dict[str, StructType] = {
+TABLES: dict[str, T.StructType] = {
     "orders_db.order_items": FACT,
     "orders_db.top_products": _contract(
         "product_category_name_english string, total_orders bigint, total_revenue double,"

@@ -12,8 +12,24 @@ from pyspark.sql import functions as F
 from cartpulse.operators.fact import Inputs
 
 
+# Stated, so that opening a table starts no schema job.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string",
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "part": "p_partkey bigint, p_type string, p_size int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string,"
+    " o_totalprice double, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+    " l_extendedprice double, l_tax double",
+    "documents": "doc_id bigint, text string",
+    "labels": "doc_id bigint, quality int",
+    "events": "event_id bigint, ts timestamp_ntz, event_type string, value double",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _orders(orders: DataFrame) -> DataFrame:
@@ -102,40 +118,62 @@ def _reviews(orders: DataFrame, documents: DataFrame) -> DataFrame:
 
 
 def read_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    orders = table(spark, sf_dir, "orders")
-    nation = table(spark, sf_dir, "nation")
-    part = table(spark, sf_dir, "part")
-    customers = table(spark, sf_dir, "customer").join(
-        nation, F.col("c_nationkey") == F.col("n_nationkey"), "left"
-    )
-    sellers = table(spark, sf_dir, "supplier").join(
-        nation, F.col("s_nationkey") == F.col("n_nationkey"), "left"
-    )
+    def opened(name: str) -> DataFrame:
+        return table(spark, sf_dir, name)
+
+    def with_nation(name: str, key: str) -> DataFrame:
+        return opened(name).join(opened("nation"), F.col(key) == F.col("n_nationkey"), "left")
+
     return Inputs(
-        orders=_orders(orders),
-        order_items=_items(table(spark, sf_dir, "lineitem")),
-        products=part.select(
+        orders=lambda: _orders(opened("orders")),
+        order_items=lambda: _items(opened("lineitem")),
+        products=lambda: opened("part").select(
             F.col("p_partkey").cast("string").alias("product_id"),
             F.col("p_type").alias("product_category_name"),
             (F.col("p_size") * F.lit(200.0)).alias("product_weight_g"),
         ),
-        customers=customers.select(
+        customers=lambda: with_nation("customer", "c_nationkey").select(
             F.col("c_custkey").cast("string").alias("customer_id"),
             F.col("c_custkey").cast("string").alias("customer_unique_id"),
             F.col("c_custkey").cast("int").alias("customer_zip_code_prefix"),
             F.col("c_mktsegment").alias("customer_city"),
             F.col("n_name").alias("customer_state"),
         ),
-        sellers=sellers.select(
+        sellers=lambda: with_nation("supplier", "s_nationkey").select(
             F.col("s_suppkey").cast("string").alias("seller_id"),
             F.col("s_suppkey").cast("int").alias("seller_zip_code_prefix"),
             F.col("s_name").alias("seller_city"),
             F.col("n_name").alias("seller_state"),
         ),
-        order_payments=_payments(orders),
-        order_reviews=_reviews(orders, table(spark, sf_dir, "documents")),
-        category_translation=part.filter(F.col("p_type") != "PROMO")
+        order_payments=lambda: _payments(opened("orders")),
+        order_reviews=lambda: _reviews(opened("orders"), opened("documents")),
+        category_translation=lambda: opened("part")
+        .filter(F.col("p_type") != "PROMO")
         .select(F.col("p_type").alias("product_category_name"))
         .distinct()
         .withColumn("product_category_name_english", F.lower("product_category_name")),
     )
+
+
+def labelled_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as a text corpus: their quality label is the bucket."""
+    documents = table(spark, sf_dir, "documents").filter(F.length("text") > 5)
+    return documents.join(table(spark, sf_dir, "labels"), "doc_id", "left").select(
+        "text",
+        F.when(F.col("quality") == 0, "negative")
+        .when(F.col("quality") == 1, "positive")
+        .otherwise("neutral")
+        .alias("review_bucket"),
+        F.lit(1).cast("long").alias("weight"),
+    )
+
+
+def events_as_items(events: DataFrame) -> DataFrame:
+    """Events as item rows of the trend: the event type is the category."""
+    return events.select(
+        F.col("event_id").cast("string").alias("order_id"),
+        F.col("event_type").alias("product_category_name_english"),
+        F.col("value").alias("price"),
+        F.lit(0.0).alias("freight_value"),
+        F.lit(None).cast("int").alias("review_score"),
+    )
