@@ -63,7 +63,7 @@ def items() -> Measure:
 
 
 def rows() -> Measure:
-    """Orders, when the input is at order grain."""
+    """Orders, when each input row is an order or a line of one."""
     return Measure(lambda: _zero("rows"), {"rows": _sum(F.lit(1).cast("long"))})
 
 
@@ -190,7 +190,8 @@ def roll_up(
     each must be determined by the next one (an order belongs to one customer).
     The rows are first combined per (keys, through) and then one column is
     dropped per step, so the distinct counts are plain counts and no row is
-    multiplied, however many distinct counts are asked for.
+    multiplied, however many distinct counts are asked for. NULL counts as a
+    value, as the filled-in sentinel does.
     """
     parts: dict[str, tuple[str, Column]] = {}
     for measure in measures.values():
@@ -215,7 +216,7 @@ def roll_up(
             dropped = through[depth]
             step = [combine(kind, name) for name, (kind, _) in plain.items()]
             step += [F.sum(name).alias(name) for name in counted]
-            step.append(F.count(dropped).alias(f"distinct_{dropped}"))
+            step.append(F.count(F.lit(1)).alias(f"distinct_{dropped}"))
             if depth == 0:
                 step += [
                     F.sum(F.when(expr, 1).otherwise(0)).cast("long").alias(name)

@@ -1,21 +1,28 @@
-"""Joining the eight inputs into the item-grain fact, or into order-grain rows.
+"""Joining the eight inputs: item rows, order rows, and order lines in between.
 
-Both builders take the columns the caller needs and leave out every join that
+All builders take the columns the caller needs and leave out every join that
 contributes none of them: all joins are left joins to a unique key, so a join
 nobody reads cannot change the result. Catalyst knows no primary keys and
 cannot do that by itself.
 
-Join order: the dimension look-ups of an item (product, seller) come first, the
-joins on ``order_id`` last and together. They share one hash partitioning, and
-the result stays clustered by order, which later distinct counts of orders
-reuse without another exchange. No side is forced to broadcast: Spark does so
-on its own when the size statistics allow it, and otherwise runs sort-merge
-joins whose hot keys adaptive execution splits.
+Three grains, each with ``n_items``, ``price_units`` and ``freight_units``:
+
+* ``clean_orders`` has one row per order;
+* ``clean_lines`` has one row per order and item-level key (category, seller ...);
+* ``clean_items`` has one row per item.
+
+The first two sum the items *before* joining what hangs on the order, with a
+map-side combine. An order, however many items it has, reaches the join as one
+row per key, the joins on ``order_id`` share one partitioning, and orders are
+counted with a plain count. No side is forced to broadcast: Spark does so on
+its own when the size statistics allow it. A hot product, seller or customer is
+left to adaptive execution, which splits skewed sort-merge partitions; every
+such join is followed by an exchange, so splitting costs no extra shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -123,26 +130,62 @@ def with_order_measures(orders: DataFrame) -> DataFrame:
     )
 
 
-def _join_order_side(base: DataFrame, inputs: Inputs, wanted: set[str]) -> DataFrame:
-    """Left-join everything that hangs on ``order_id``."""
+def _order_sources(inputs: Inputs, wanted: set[str]) -> list[DataFrame]:
+    """The relations unique by ``order_id`` that hold the wanted columns."""
+    sources = []
     order_side = wanted.intersection((*ORDER_FIELDS, *CUSTOMER_FIELDS))
+    paid, reviewed = wanted.intersection(PAYMENT_FIELDS), wanted.intersection(REVIEW_FIELDS)
     if order_side:
         orders = with_order_measures(inputs.orders)
         if wanted.intersection(CUSTOMER_FIELDS):
             orders = orders.join(
                 inputs.customers.select("customer_id", *CUSTOMER_FIELDS), "customer_id", "left"
             )
-        base = base.join(orders.select("order_id", *_ordered(order_side)), "order_id", "left")
-    paid, reviewed = wanted.intersection(PAYMENT_FIELDS), wanted.intersection(REVIEW_FIELDS)
+        sources.append(orders.select("order_id", *_ordered(order_side)))
     if paid:
         payments = payments_per_order(inputs.order_payments)
-        base = base.join(payments.select("order_id", *_ordered(paid)), "order_id", "left")
+        sources.append(payments.select("order_id", *_ordered(paid)))
     if reviewed:
         reviews = latest_reviews(inputs.order_reviews)
-        base = base.join(reviews.select("order_id", *_ordered(reviewed)), "order_id", "left")
+        sources.append(reviews.select("order_id", *_ordered(reviewed)))
+    return sources
+
+
+def _left_join_all(base: DataFrame, sources: Iterable[DataFrame]) -> DataFrame:
+    for source in sources:
+        base = base.join(source, "order_id", "left")
     return base
 
 
+def _join_order_side(items: DataFrame, inputs: Inputs, wanted: set[str]) -> DataFrame:
+    """Left-join the order side to item rows, in a single join.
+
+    Several sources are first joined to the order ids of the items, where every
+    key is unique. The exchange in front of the one join that may meet a hot
+    order lets adaptive execution split it.
+    """
+    sources = _order_sources(inputs, wanted)
+    if not sources:
+        return items
+    if len(sources) == 1 and not wanted.intersection((*PAYMENT_FIELDS, *REVIEW_FIELDS)):
+        return items.join(sources[0], "order_id", "left")
+    ids = inputs.order_items.select("order_id").distinct()
+    side = _left_join_all(ids, sources).repartition("order_id")
+    return items.join(side, "order_id", "left")
+
+
+def _join_dimensions(items: DataFrame, inputs: Inputs, wanted: set[str]) -> DataFrame:
+    """Left-join what hangs on the product or the seller of an item."""
+    if wanted.intersection(PRODUCT_FIELDS):
+        products = products_in_english(inputs.products, inputs.category_translation)
+        items = items.join(products.select("product_id", *PRODUCT_FIELDS), "product_id", "left")
+    if wanted.intersection(SELLER_FIELDS):
+        items = items.join(
+            inputs.sellers.select("seller_id", *SELLER_FIELDS), "seller_id", "left"
+        )
+    return items
+
+
 def _ordered(names: Iterable[str]) -> list[str]:
     chosen = set(names)
     return [name for name in FACT.fieldNames() if name in chosen]
@@ -160,12 +203,7 @@ def item_fact(
     Timestamps stay timestamps; the warehouse writer turns them into text.
     """
     wanted = set(FACT.fieldNames() if columns is None else columns)
-    df = inputs.order_items
-    if wanted.intersection(PRODUCT_FIELDS):
-        products = products_in_english(inputs.products, inputs.category_translation)
-        df = df.join(products.select("product_id", *PRODUCT_FIELDS), "product_id", "left")
-    if wanted.intersection(SELLER_FIELDS):
-        df = df.join(inputs.sellers.select("seller_id", *SELLER_FIELDS), "seller_id", "left")
+    df = _join_dimensions(inputs.order_items, inputs, wanted)
     df = _join_order_side(df, inputs, wanted)
     day = F.current_date() if ingested_date is None else F.lit(ingested_date)
     derived = {
@@ -197,28 +235,48 @@ def as_item_grain(clean_fact: DataFrame) -> DataFrame:
     )
 
 
-def clean_orders(inputs: Inputs, columns: Iterable[str] = ()) -> DataFrame:
-    """Imputed order-grain rows: one per order that has items.
-
-    The items are summed per order before any join, so every query whose keys
-    are facts about the order counts orders with a plain count and joins one row
-    per order instead of one per item.
-    """
-    zero = F.lit(0.0)
-    per_order = inputs.order_items.groupBy("order_id").agg(
-        F.count("*").alias("n_items"),
-        F.sum(money_units(F.coalesce("price", zero))).alias("price_units"),
-        F.sum(money_units(F.coalesce("freight_value", zero))).alias("freight_units"),
-    )
-    return impute(_join_order_side(per_order, inputs, set(columns)))
-
-
-def orders_from_fact(clean_fact: DataFrame, columns: Iterable[str] = ()) -> DataFrame:
-    """Order-grain rows from a stored fact; no shuffle if it is bucketed by order."""
-    items = as_item_grain(clean_fact)
-    return items.groupBy("order_id").agg(
+def _summed(items: DataFrame, keys: Iterable[str], *attributes: Column) -> DataFrame:
+    return items.groupBy("order_id", *keys).agg(
         F.sum("n_items").alias("n_items"),
         F.sum("price_units").alias("price_units"),
         F.sum("freight_units").alias("freight_units"),
-        *[F.any_value(name).alias(name) for name in columns if name != "order_id"],
+        *attributes,
     )
+
+
+def clean_lines(
+    inputs: Inputs,
+    keys: Iterable[str],
+    columns: Iterable[str] = (),
+    derived: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """Imputed rows per order and ``keys`` (item-level columns or ``derived`` ones).
+
+    ``columns`` names whatever else is read: order-level columns, which are
+    joined after the items are summed, and sources of the derived keys.
+
+    The order id is left as it is, because the joins would lose their common
+    partitioning otherwise. A missing id is a group of its own either way.
+    """
+    wanted = {*keys, *columns}
+    items = impute(_join_dimensions(inputs.order_items, inputs, wanted), skip=("order_id",))
+    lines = _summed(as_item_grain(items).withColumns(dict(derived or {})), [*keys, *(derived or {})])
+    return impute(_left_join_all(lines, _order_sources(inputs, wanted)), skip=("order_id",))
+
+
+def clean_orders(inputs: Inputs, columns: Iterable[str] = ()) -> DataFrame:
+    """Imputed rows per order that has items."""
+    return clean_lines(inputs, (), columns)
+
+
+def lines_from_fact(
+    clean_fact: DataFrame,
+    keys: Iterable[str],
+    columns: Iterable[str] = (),
+    derived: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """Order lines from a stored fact; no shuffle if it is bucketed by order."""
+    items = as_item_grain(clean_fact).withColumns(dict(derived or {}))
+    grouped = [*keys, *(derived or {})]
+    other = [name for name in dict.fromkeys(columns) if name not in {"order_id", *grouped}]
+    return _summed(items, grouped, *[F.any_value(name).alias(name) for name in other])

@@ -53,9 +53,9 @@ def _filled(name: str) -> Column:
     return filled.alias(name)
 
 
-def impute(df: DataFrame) -> DataFrame:
+def impute(df: DataFrame, skip: Sequence[str] = ()) -> DataFrame:
     """Fill the columns that are present, in one projection."""
-    return df.select(*[_filled(name) for name in df.columns])
+    return df.select(*[F.col(name) if name in skip else _filled(name) for name in df.columns])
 
 
 def timestamps_to_text(df: DataFrame) -> DataFrame:

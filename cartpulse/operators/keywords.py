@@ -63,11 +63,11 @@ def squeezed_word_counts(reviews: DataFrame, score: int = 1, top: int = 20) -> D
 
 def cleaned_texts(reviews: DataFrame) -> DataFrame:
     """Review texts reduced to their counted words, in order."""
-    stop = F.array(*[F.lit(word) for word in T.stop_words(domain=False)])
+    stop = T.stop_words(domain=False)
     words = T.squeezed_words(F.col("review_comment_message"))
     return reviews.filter(F.col("review_comment_message").isNotNull()).withColumn(
         "cleaned_text",
-        F.array_join(F.filter(words, lambda word: ~F.array_contains(stop, word)), " "),
+        F.array_join(F.filter(words, lambda word: ~word.isin(stop)), " "),
     )
 
 
@@ -138,7 +138,12 @@ def keyword_scores(corpus: DataFrame, require_min_docs: bool = True) -> DataFram
 
     in_either = F.col("freq_negative") + F.col("freq_positive") > 0
     vocabulary = (
-        counts.filter(F.col("word").isNotNull() & (F.col("doc_freq") >= MIN_DOCUMENTS))
+        counts.filter(
+            # not the NULL word; said of summed columns, so that this branch and
+            # the totals keep the same grouped rows and Spark shuffles them once
+            (F.col("corpus_size") + F.col("text_count") == 0)
+            & (F.col("doc_freq") >= MIN_DOCUMENTS)
+        )
         .withColumn("idf", F.log(total["corpus_size"] / F.col("doc_freq")))
         .filter(F.col("idf") >= MIN_IDF)
     )

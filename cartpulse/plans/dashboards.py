@@ -621,43 +621,61 @@ def q6_3_monthly_scores(mart: Mart) -> DataFrame:
     )
 
 
-# The four factors and their limits.
+# Names of the four factors.
 _FACTORS = {
-    "Late Delivery": ("is_late_delivery", 0),
-    "High Freight (>30)": ("freight_value", L.HIGH_FREIGHT),
-    "Slow Approval (>24h)": ("approval_delay_hours", L.SLOW_APPROVAL_HOURS),
-    "Heavy Product (>5kg)": ("product_weight_g", L.HEAVY_GRAMS),
+    "Late Delivery": "late",
+    "High Freight (>30)": "dear",
+    "Slow Approval (>24h)": "slow",
+    "Heavy Product (>5kg)": "heavy",
 }
 
 
 @_query
 def q6_4_root_causes(mart: Mart) -> DataFrame:
-    """All factors out of one aggregate, then one row per factor."""
-    reviewed = mart.items("review_score", *[column for column, _ in _FACTORS.values()]).filter(
-        _score().isNotNull()
+    """All factors out of one roll-up, then one row per factor."""
+    reviewed = mart.lines(
+        [],
+        "review_score",
+        "is_late_delivery",
+        "approval_delay_hours",
+        "product_weight_g",
+        dear=F.col("freight_value") > L.HIGH_FREIGHT,
+        heavy=F.col("product_weight_g") > L.HEAVY_GRAMS,
+    ).filter(_score().isNotNull())
+    flagged = reviewed.withColumns(
+        {
+            "late": F.col("is_late_delivery") == 1,
+            "slow": F.col("approval_delay_hours") > L.SLOW_APPROVAL_HOURS,
+        }
+    )
+    row = M.roll_up(
+        flagged,
+        [],
+        {
+            f"{flag}_{name}": measure
+            for flag in _FACTORS.values()
+            for name, measure in {
+                "hit": M.mean("review_score", F.col(flag), f"{flag}_hit"),
+                "free": M.mean("review_score", ~F.col(flag), f"{flag}_free"),
+                "n": M.hits(F.col(flag), flag),
+            }.items()
+        },
     )
-
-    def averages(column: str, limit: float) -> Column:
-        hit, free = F.col(column) > limit, F.col(column) <= limit
-        return F.struct(
-            F.avg(F.when(hit, _score())).alias("hit"),
-            F.avg(F.when(free, _score())).alias("free"),
-            F.count_if(hit).alias("n"),
-        )
-
-    row = reviewed.agg(*[averages(*test).alias(f"f{i}") for i, test in enumerate(_FACTORS.values())])
     factors = F.array(
         *[
-            F.struct(F.lit(name).alias("factor"), F.col(f"f{i}").alias("m"))
-            for i, name in enumerate(_FACTORS)
+            F.struct(
+                F.lit(name).alias("factor"),
+                *[F.col(f"{flag}_{part}").alias(part) for part in ("hit", "free", "n")],
+            )
+            for name, flag in _FACTORS.items()
         ]
     )
     return row.select(F.inline(factors)).select(
         "factor",
-        _r("m.hit", 2, "avg_review_affected"),
-        _r("m.free", 2, "avg_review_unaffected"),
-        F.round(F.col("m.free") - F.col("m.hit"), 2).alias("impact_delta"),
-        F.col("m.n").alias("affected_orders"),
+        _r("hit", 2, "avg_review_affected"),
+        _r("free", 2, "avg_review_unaffected"),
+        F.round(F.col("free") - F.col("hit"), 2).alias("impact_delta"),
+        F.col("n").alias("affected_orders"),
     )
 
 

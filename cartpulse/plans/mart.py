@@ -7,11 +7,11 @@ query is written once.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from functools import cached_property
 from typing import Protocol
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartpulse.operators.fact import (
@@ -19,9 +19,10 @@ from cartpulse.operators.fact import (
     Inputs,
     as_item_grain,
     clean_items,
+    clean_lines,
     clean_orders,
     item_fact,
-    orders_from_fact,
+    lines_from_fact,
 )
 from cartpulse.schemas import TABLES
 
@@ -38,6 +39,9 @@ class Mart(Protocol):
     def orders(self, *columns: str) -> DataFrame:
         """Clean rows per order with at least these order columns."""
 
+    def lines(self, keys: Iterable[str], *columns: str, **derived: Column) -> DataFrame:
+        """Clean rows per order and item-level keys, some of them derived."""
+
     def table(self, name: str) -> DataFrame:
         """A warehouse table by its unqualified name."""
 
@@ -64,6 +68,9 @@ class LiveMart:
     def orders(self, *columns: str) -> DataFrame:
         return clean_orders(self.inputs, columns)
 
+    def lines(self, keys: Iterable[str], *columns: str, **derived: Column) -> DataFrame:
+        return clean_lines(self.inputs, list(keys), columns, derived)
+
     def table(self, name: str) -> DataFrame:
         from cartpulse.plans.tables import BUILDERS
 
@@ -99,4 +106,7 @@ class StoredMart:
         return as_item_grain(self._fact())
 
     def orders(self, *columns: str) -> DataFrame:
-        return orders_from_fact(self._fact(), columns)
+        return lines_from_fact(self._fact(), (), columns)
+
+    def lines(self, keys: Iterable[str], *columns: str, **derived: Column) -> DataFrame:
+        return lines_from_fact(self._fact(), list(keys), columns, derived)

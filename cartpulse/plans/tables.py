@@ -15,7 +15,6 @@ from cartpulse.operators.imputation import audit, timestamps_to_text
 from cartpulse.plans.mart import Mart
 
 CATEGORY = "product_category_name_english"
-BY_ORDER = ("order_id",)
 
 
 def _late() -> Column:
@@ -62,17 +61,16 @@ def data_quality_report(mart: Mart) -> DataFrame:
 
 def category_summary(mart: Mart) -> DataFrame:
     return M.roll_up(
-        mart.items(CATEGORY, "review_score"),
+        mart.lines([CATEGORY], "review_score"),
         [CATEGORY],
         {
-            "total_orders": M.distinct("order_id"),
+            "total_orders": M.rows(),
             "total_revenue": M.total("price"),
             "total_items": M.items(),
             "avg_review_score": M.mean("review_score"),
             "avg_price": M.mean_money("price"),
             "avg_freight": M.mean_money("freight"),
         },
-        through=BY_ORDER,
     )
 
 
@@ -93,8 +91,8 @@ def _hourly(mart: Mart, **extra: M.Measure) -> DataFrame:
 
 
 def review_analysis(mart: Mart) -> DataFrame:
-    reviewed = mart.items(
-        CATEGORY, "review_score", "delivery_delay_days", "is_late_delivery"
+    reviewed = mart.lines(
+        [CATEGORY], "review_score", "delivery_delay_days", "is_late_delivery"
     ).filter(_score().isNotNull())
     return M.roll_up(
         reviewed,
@@ -141,25 +139,18 @@ def delivery_performance(mart: Mart, delivered_only: bool = False) -> DataFrame:
 
 
 def seller_performance(mart: Mart) -> DataFrame:
+    seller = ["seller_id", "seller_city", "seller_state"]
     return M.roll_up(
-        mart.items(
-            "seller_id",
-            "seller_city",
-            "seller_state",
-            "review_score",
-            "shipping_duration_days",
-            "is_late_delivery",
-        ),
-        ["seller_id", "seller_city", "seller_state"],
+        mart.lines(seller, "review_score", "shipping_duration_days", "is_late_delivery"),
+        seller,
         {
-            "total_orders": M.distinct("order_id"),
+            "total_orders": M.rows(),
             "total_revenue": M.total("price"),
             "avg_review_score": M.mean("review_score"),
             "avg_delivery_days": M.mean_days("shipping_duration_days"),
             "late_delivery_pct": _late_share(),
             "total_products_sold": M.items(),
         },
-        through=BY_ORDER,
     )
 
 
@@ -271,16 +262,16 @@ def sales_forecasting(mart: Mart) -> DataFrame:
     """
     growth = F.col("growth_rate")
     base = M.roll_up(
-        mart.items(CATEGORY, "customer_unique_id"),
+        mart.lines([CATEGORY], "customer_unique_id"),
         [CATEGORY],
         {
-            "current_total_orders": M.distinct("order_id"),
+            "current_total_orders": M.rows(),
             "current_total_revenue": M.total("price"),
             "avg_order_value": M.mean_money("price"),
             "customers": M.distinct("customer_unique_id"),
-            "repeaters": M.count_where(F.col("distinct_order_id") > 1, "repeaters"),
+            "repeaters": M.count_where(F.col("rows") > 1, "repeaters"),
         },
-        through=("customer_unique_id", "order_id"),
+        through=("customer_unique_id",),
     )
     return (
         base.withColumn(
@@ -332,17 +323,17 @@ def daily_summary(mart: Mart) -> DataFrame:
 
 def products_performance(mart: Mart) -> DataFrame:
     return M.roll_up(
-        mart.items("product_id", CATEGORY, "customer_unique_id", "review_score"),
+        mart.lines(["product_id", CATEGORY], "customer_unique_id", "review_score"),
         ["product_id", CATEGORY],
         {
-            "total_orders": M.distinct("order_id"),
+            "total_orders": M.rows(),
             "total_revenue": M.total("price"),
             "avg_price": M.mean_money("price"),
             "avg_freight": M.mean_money("freight"),
             "avg_review_score": M.mean("review_score"),
             "total_unique_buyers": M.distinct("customer_unique_id"),
         },
-        through=("customer_unique_id", "order_id"),
+        through=("customer_unique_id",),
     )
 
 
@@ -404,27 +395,35 @@ def monthly_review_trend(mart: Mart) -> DataFrame:
 
 
 def review_root_cause_matrix(mart: Mart) -> DataFrame:
-    causes = {
-        "is_late": _late(),
-        "is_high_freight": F.col("freight_value") > L.HIGH_FREIGHT,
-        "is_slow_approval": F.col("approval_delay_hours") > L.SLOW_APPROVAL_HOURS,
-    }
+    causes = ["is_late", "is_high_freight", "is_slow_approval"]
     reviewed = (
-        mart.items("review_score", "is_late_delivery", "approval_delay_hours")
+        mart.lines(
+            [],
+            "review_score",
+            "is_late_delivery",
+            "approval_delay_hours",
+            is_high_freight=L.yes_no(F.col("freight_value") > L.HIGH_FREIGHT),
+        )
         .filter(_score().isNotNull())
-        .withColumns({name: L.yes_no(test) for name, test in causes.items()})
+        .withColumns(
+            {
+                "is_late": L.yes_no(_late()),
+                "is_slow_approval": L.yes_no(
+                    F.col("approval_delay_hours") > L.SLOW_APPROVAL_HOURS
+                ),
+            }
+        )
     )
     shares = _score_shares()
     cells = M.roll_up(
         reviewed,
-        list(causes),
+        causes,
         {
-            "total_orders": M.distinct("order_id"),
+            "total_orders": M.rows(),
             "avg_review_score": M.mean("review_score"),
             "negative_review_pct": shares["negative_review_pct"],
             "positive_review_pct": shares["positive_review_pct"],
         },
-        through=BY_ORDER,
     )
     # the count follows from the keys
     present = [(F.col(name) == "Yes").cast("int") for name in causes]
@@ -433,19 +432,22 @@ def review_root_cause_matrix(mart: Mart) -> DataFrame:
 
 def seller_state_review(mart: Mart) -> DataFrame:
     seller, customer = F.col("seller_state"), F.col("customer_state")
-    routed = mart.items(
-        "seller_state", "customer_state", "review_score", "shipping_duration_days", "is_late_delivery"
+    routed = mart.lines(
+        ["seller_state"],
+        "customer_state",
+        "review_score",
+        "shipping_duration_days",
+        "is_late_delivery",
     ).filter((seller != L.MISSING) & (customer != L.MISSING) & _score().isNotNull())
     return M.roll_up(
         routed,
         ["seller_state", "customer_state"],
         {
-            "total_orders": M.distinct("order_id"),
+            "total_orders": M.rows(),
             "avg_review_score": M.mean("review_score"),
             "avg_shipping_days": M.mean_days("shipping_duration_days"),
             "late_delivery_pct": _late_share(),
         },
-        through=BY_ORDER,
     ).withColumn(
         "is_same_state",
         F.when(seller == customer, F.lit(L.SAME_STATE)).otherwise(F.lit(L.OTHER_STATE)),
