@@ -161,8 +161,10 @@ def _join_order_side(items: DataFrame, inputs: Inputs, wanted: set[str]) -> Data
     """Left-join the order side to item rows, in a single join.
 
     Several sources are first joined to the order ids of the items, where every
-    key is unique. The exchange in front of the one join that may meet a hot
-    order lets adaptive execution split it.
+    key is unique. Then comes the one join that may meet a hot order. Adaptive
+    execution splits it only if both sides come straight from an exchange, so
+    the key is rebuilt: Spark no longer knows the rows as hashed by it and puts
+    an exchange there. (A plain ``repartition`` would be optimised away.)
     """
     sources = _order_sources(inputs, wanted)
     if not sources:
@@ -170,7 +172,8 @@ def _join_order_side(items: DataFrame, inputs: Inputs, wanted: set[str]) -> Data
     if len(sources) == 1 and not wanted.intersection((*PAYMENT_FIELDS, *REVIEW_FIELDS)):
         return items.join(sources[0], "order_id", "left")
     ids = inputs.order_items.select("order_id").distinct()
-    side = _left_join_all(ids, sources).repartition("order_id")
+    side = _left_join_all(ids, sources)
+    side = side.withColumn("order_id", F.concat("order_id", F.lit("")))
     return items.join(side, "order_id", "left")
 
 

@@ -30,12 +30,16 @@ DRIVERS = (
 
 @contextmanager
 def kept(df: DataFrame) -> Iterator[DataFrame]:
-    """Keep rows for an iterative fit; recomputed from lineage if a node is lost."""
-    df.persist(StorageLevel.MEMORY_AND_DISK)
+    """Keep rows for an iterative fit; recomputed from lineage if a node is lost.
+
+    The rows are rebalanced by size first. A fit passes over them many times, and
+    every pass takes as long as the largest partition.
+    """
+    even = df.hint("rebalance").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield df
+        yield even
     finally:
-        df.unpersist()
+        even.unpersist()
 
 
 # ------------------------------------------------------------------ clusters

@@ -404,8 +404,16 @@ def rule_summary(prepared: DataFrame) -> DataFrame:
 def forest_summary(
     prepared: DataFrame, model: RandomForestRegressionModel | None = None
 ) -> DataFrame:
-    model = model or models.fit_review_forest(training_rows(prepared))
-    return summarise(forest_scores(simulate(prepared), model), "RandomForest")
+    """Scenario summary by the forest, fitted here unless one is given.
+
+    Fit and scoring read the same kept rows. What leaves is one row per
+    scenario, so it is taken out before the rows are let go.
+    """
+    spark = prepared.sparkSession
+    with models.kept(prepared) as rows:
+        fitted = model or models.review_forest().fit(training_rows(rows))
+        summary = summarise(forest_scores(simulate(rows), fitted), "RandomForest")
+        return spark.createDataFrame(summary.collect(), summary.schema)
 
 
 def best_scenario(summary: DataFrame) -> DataFrame:
@@ -438,7 +446,8 @@ def order_detail(
     repeated nor shuffled. Without a model the predictions are the actual scores.
     """
     late_delay = average_late_delay(prepared)
-    df = prepared
+    # scoring is costly per row, so the rows are evened out first
+    df = prepared if model is None else prepared.hint("rebalance")
     for name in SCENARIOS:
         if model is None:
             predicted = F.col("review_score").cast("double")

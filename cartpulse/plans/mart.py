@@ -78,9 +78,17 @@ class LiveMart:
 
 
 class StoredMart:
-    def __init__(self, spark: SparkSession, ingested_date: str | None = None) -> None:
+    """Reads the warehouse; the audit also needs the fact before imputation."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        ingested_date: str | None = None,
+        raw_fact: DataFrame | None = None,
+    ) -> None:
         self.spark = spark
         self.ingested_date = ingested_date
+        self._raw_fact = raw_fact
 
     @cached_property
     def _homes(self) -> dict[str, str]:
@@ -100,7 +108,9 @@ class StoredMart:
         )
 
     def raw_items(self, *columns: str) -> DataFrame:
-        return self._fact().select(*columns)
+        if self._raw_fact is None:
+            raise ValueError("the warehouse holds no rows from before imputation")
+        return self._raw_fact.select(*columns)
 
     def items(self, *columns: str) -> DataFrame:
         return as_item_grain(self._fact())
