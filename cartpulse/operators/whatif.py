@@ -7,6 +7,7 @@ pass; each change applies only to the scenarios that contain it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import reduce
 
@@ -397,6 +398,61 @@ def summarise(scored: DataFrame, model_type: str) -> DataFrame:
     )
 
 
+def bootstrap_interval(
+    scored: DataFrame, replicates: int = 500, digits: int = 3, seed: int = models.SEED
+) -> DataFrame:
+    """95 % percentile interval of the mean score by a seeded Poisson bootstrap.
+
+    Works on the histogram of the scores (a few thousand bins per scenario once
+    rounded), not on the rows: a bin drawn with Poisson(1) weights per row weighs
+    Poisson(count), taken as normal from 50 rows on and otherwise drawn by
+    inverting its distribution function.
+    """
+    histogram = scored.groupBy("scenario_id", F.round("predicted", digits).alias("score")).agg(
+        F.count("*").cast("double").alias("rows")
+    )
+    rows, uniform = F.col("rows"), F.col("uniform")
+    # smallest k with CDF(k) >= u, walked up to a bound no small bin reaches
+    start = F.struct(F.exp(-rows).alias("p"), F.exp(-rows).alias("cdf"), F.lit(0).alias("k"))
+
+    def step(state: Column, k: Column) -> Column:
+        p = state.getField("p") * rows / k
+        return F.when(
+            state.getField("cdf") < uniform,
+            F.struct(p.alias("p"), (state.getField("cdf") + p).alias("cdf"), k.alias("k")),
+        ).otherwise(state)
+
+    inverted = F.aggregate(
+        F.sequence(F.lit(1), F.lit(150)), start, step, lambda state: state.getField("k")
+    )
+    drawn = (
+        histogram.select(
+            "*", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("replicate")
+        )
+        # random numbers from the values of the row, so that a task that is run
+        # again draws the same ones
+        .withColumn("h1", F.xxhash64(F.lit(seed), "scenario_id", "score", "replicate"))
+        .withColumn("h2", F.xxhash64("h1", F.lit(seed + 1)))
+        .withColumn("uniform", (F.pmod("h1", F.lit(2**52)) + 0.5) / float(2**52))
+        .withColumn("angle", (F.pmod("h2", F.lit(2**52)) + 0.5) / float(2**52) * (2 * math.pi))
+        .withColumn(
+            "weight",
+            F.when(rows < 50, inverted.cast("double")).otherwise(
+                F.greatest(
+                    rows + F.sqrt(rows) * F.sqrt(F.log(uniform) * -2) * F.cos("angle"), F.lit(0.0)
+                )
+            ),
+        )
+    )
+    means = drawn.groupBy("scenario_id", "replicate").agg(
+        F.try_divide(F.sum(F.col("weight") * F.col("score")), F.sum("weight")).alias("mean")
+    )
+    return means.groupBy("scenario_id").agg(
+        F.round(F.percentile("mean", F.lit(0.025)), 4).alias("ci_lower_95"),
+        F.round(F.percentile("mean", F.lit(0.975)), 4).alias("ci_upper_95"),
+    )
+
+
 def rule_summary(prepared: DataFrame) -> DataFrame:
     return summarise(rule_scores(simulate(prepared)), "RuleBased")
 
