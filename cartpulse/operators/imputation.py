@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartpulse.functions.labels import MISSING
@@ -39,23 +39,21 @@ AUDITED_COLUMNS = (
 )
 
 
-def _filled(name: str) -> Column:
+def _filled(name: str) -> str:
     if name in TEXT_COLUMNS:
-        filled = F.coalesce(F.col(name), F.lit(MISSING))
-    elif name in WHOLE_COLUMNS:
-        filled = F.coalesce(F.col(name), F.lit(0)).cast("int")
-    elif name in REAL_COLUMNS:
-        filled = F.coalesce(F.col(name), F.lit(0.0)).cast("double")
-    elif name in NULLABLE_TYPES:
-        filled = F.col(name).cast(NULLABLE_TYPES[name])
-    else:
-        return F.col(name)
-    return filled.alias(name)
+        return f"coalesce({name}, '{MISSING}') as {name}"
+    if name in WHOLE_COLUMNS:
+        return f"cast(coalesce({name}, 0) as int) as {name}"
+    if name in REAL_COLUMNS:
+        return f"cast(coalesce({name}, 0D) as double) as {name}"
+    if name in NULLABLE_TYPES:
+        return f"cast({name} as {NULLABLE_TYPES[name]}) as {name}"
+    return f"`{name}`"
 
 
 def impute(df: DataFrame, skip: Sequence[str] = ()) -> DataFrame:
     """Fill the columns that are present, in one projection."""
-    return df.select(*[F.col(name) if name in skip else _filled(name) for name in df.columns])
+    return df.selectExpr(*[f"`{name}`" if name in skip else _filled(name) for name in df.columns])
 
 
 def timestamps_to_text(df: DataFrame) -> DataFrame:

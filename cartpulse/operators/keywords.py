@@ -87,34 +87,42 @@ def review_corpus(texts: DataFrame) -> DataFrame:
 
 
 def term_counts(corpus: DataFrame) -> DataFrame:
-    """Term and document frequencies of every word, in a single shuffle.
-
-    Each text emits its tokens (term frequency), its different tokens (document
-    frequency) and one NULL word (the text itself), told apart by their position
-    in the outer array. The NULL word's row then holds the corpus size, so the
-    texts are read and tokenised once for all statistics.
+    """Term and document frequencies of every word, texts tokenised once.
+
+    Equal texts are first folded into one row with a weight per bucket; the fold
+    combines before its shuffle, so a text that makes up a third of the corpus
+    costs no more than any other. Each text then emits its tokens (term
+    frequency), its different tokens (document frequency) and one NULL word (the
+    text itself), told apart by their position in the outer array. The NULL
+    word's row holds the corpus size, so a single shuffle by word yields all
+    statistics.
     """
-    tokenised = T.add_keyword_tokens(corpus, "text", "tokens")
+
+    def weigh(condition: Column, name: str) -> Column:
+        weighed = F.when(condition, F.col("weight")).otherwise(F.lit(0).cast("long"))
+        return F.sum(weighed).alias(name)
+
+    folded = corpus.groupBy("text").agg(
+        *[weigh(F.col("review_bucket") == bucket, bucket) for bucket in BUCKETS]
+    )
+    tokenised = T.add_keyword_tokens(folded, "text", "tokens").withColumn(
+        "weight", F.col(BUCKETS[0]) + F.col(BUCKETS[1]) + F.col(BUCKETS[2])
+    )
     streams = F.array("tokens", F.array_distinct("tokens"), F.array(F.lit(None).cast("string")))
-    stream, weight = F.col("stream"), F.col("weight")
+    carried = [*BUCKETS, "weight"]
     emitted = tokenised.select(
-        "review_bucket", "weight", F.size("tokens").alias("length"), F.posexplode(streams)
+        *carried, F.size("tokens").alias("length"), F.posexplode(streams)
     ).select(
-        "review_bucket",
-        "weight",
-        "length",
-        F.col("pos").alias("stream"),
-        F.explode("col").alias("word"),
+        *carried, "length", F.col("pos").alias("stream"), F.explode("col").alias("word")
     )
+    stream = F.col("stream")
 
-    def weigh(condition: Column, name: str) -> Column:
-        return F.sum(F.when(condition, weight).otherwise(F.lit(0).cast("long"))).alias(name)
+    def in_bucket(bucket: str) -> Column:
+        counted = F.when(stream == 0, F.col(bucket)).otherwise(F.lit(0).cast("long"))
+        return F.sum(counted).alias(f"freq_{bucket}")
 
     return emitted.groupBy("word").agg(
-        *[
-            weigh((stream == 0) & (F.col("review_bucket") == bucket), f"freq_{bucket}")
-            for bucket in BUCKETS
-        ],
+        *[in_bucket(bucket) for bucket in BUCKETS],
         weigh(stream == 1, "doc_freq"),
         weigh((stream == 2) & (F.col("length") > 0), "corpus_size"),
         weigh(stream == 2, "text_count"),

@@ -6,7 +6,9 @@ engine gets the same doubles.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import lru_cache
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartpulse.operators.fact import Inputs
@@ -33,91 +35,76 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _orders(orders: DataFrame) -> DataFrame:
-    k = F.col("o_orderkey")
-
-    def after(hours: Column) -> Column:
-        return F.timestamp_add("HOUR", hours.cast("int"), F.col("o_orderdate"))
-
-    bought = k % 24
-    approved = bought + k * 13 % 60
-    carried = approved + (k % 5 + 1) * 24
-    delivered = carried + k * 17 % 30 * 24
-    return orders.select(
-        k.cast("string").alias("order_id"),
-        F.col("o_custkey").cast("string").alias("customer_id"),
-        F.when(F.col("o_orderstatus") == "F", "delivered")
-        .when(F.col("o_orderstatus") == "O", "shipped")
-        .otherwise("canceled")
-        .alias("order_status"),
-        after(bought).alias("order_purchase_timestamp"),
-        after(approved).alias("order_approved_at"),
-        after(carried).alias("order_delivered_carrier_date"),
-        F.when(~((F.col("o_orderstatus") == "P") & (k % 2 == 0)), after(delivered)).alias(
-            "order_delivered_customer_date"
-        ),
-        after(bought + 480).alias("order_estimated_delivery_date"),
+    bought = "o_orderkey % 24"
+    approved = f"{bought} + o_orderkey * 13 % 60"
+    carried = f"{approved} + (o_orderkey % 5 + 1) * 24"
+    delivered = f"{carried} + o_orderkey * 17 % 30 * 24"
+
+    def after(hours: str) -> str:
+        return f"timestampadd(HOUR, cast({hours} as int), o_orderdate)"
+
+    return orders.selectExpr(
+        "cast(o_orderkey as string) as order_id",
+        "cast(o_custkey as string) as customer_id",
+        "case o_orderstatus when 'F' then 'delivered' when 'O' then 'shipped' else 'canceled' end"
+        " as order_status",
+        f"{after(bought)} as order_purchase_timestamp",
+        f"{after(approved)} as order_approved_at",
+        f"{after(carried)} as order_delivered_carrier_date",
+        f"if(o_orderstatus = 'P' and o_orderkey % 2 = 0, null, {after(delivered)})"
+        " as order_delivered_customer_date",
+        f"{after(f'{bought} + 480')} as order_estimated_delivery_date",
     )
 
 
 def _items(lineitem: DataFrame) -> DataFrame:
-    freight = F.expr(
-        "(cast(rint(l_extendedprice * 100) as bigint) * cast(rint(l_tax * 100) as bigint) + 5000)"
-        " div 10000"
-    )
-    return lineitem.select(
-        F.col("l_orderkey").cast("string").alias("order_id"),
-        F.col("l_linenumber").cast("int").alias("order_item_id"),
-        F.col("l_partkey").cast("string").alias("product_id"),
-        F.col("l_suppkey").cast("string").alias("seller_id"),
-        F.col("l_extendedprice").alias("price"),
-        (freight / F.lit(100.0)).alias("freight_value"),
+    cents, percent = (f"cast(rint({name} * 100) as bigint)" for name in ("l_extendedprice", "l_tax"))
+    return lineitem.selectExpr(
+        "cast(l_orderkey as string) as order_id",
+        "cast(l_linenumber as int) as order_item_id",
+        "cast(l_partkey as string) as product_id",
+        "cast(l_suppkey as string) as seller_id",
+        "l_extendedprice as price",
+        f"({cents} * {percent} + 5000) div 10000 / 100D as freight_value",
     )
 
 
 def _payments(orders: DataFrame) -> DataFrame:
-    k, seq = F.col("o_orderkey"), F.col("seq")
-    kind = F.element_at(
-        F.array(*[F.lit(x) for x in ("credit_card", "boleto", "voucher", "debit_card")]),
-        ((k + seq) % 4 + 1).cast("int"),
+    numbered = orders.selectExpr(
+        "*", "explode(sequence(1, cast(o_orderkey % 3 + 1 as int))) as seq"
     )
-    return orders.select(
-        "o_orderkey", "o_totalprice", F.explode(F.sequence(F.lit(1), (k % 3 + 1).cast("int"))).alias("seq")
-    ).select(
-        k.cast("string").alias("order_id"),
-        seq.alias("payment_sequential"),
-        kind.alias("payment_type"),
-        (k * seq % 12 + 1).cast("int").alias("payment_installments"),
-        (F.expr("cast(rint(o_totalprice * 100) as bigint) div (o_orderkey % 3 + 1)") / F.lit(100.0)).alias(
-            "payment_value"
-        ),
+    return numbered.selectExpr(
+        "cast(o_orderkey as string) as order_id",
+        "seq as payment_sequential",
+        "case (o_orderkey + seq) % 4 when 0 then 'credit_card' when 1 then 'boleto'"
+        " when 2 then 'voucher' else 'debit_card' end as payment_type",
+        "cast(o_orderkey * seq % 12 + 1 as int) as payment_installments",
+        "cast(rint(o_totalprice * 100) as bigint) div (o_orderkey % 3 + 1) / 100D as payment_value",
     )
 
 
 def _reviews(orders: DataFrame, documents: DataFrame) -> DataFrame:
-    k, seq = F.col("o_orderkey"), F.col("seq")
     n_docs = documents.agg(F.count("*").alias("n")).scalar()
-    reviews = (
-        orders.filter(k % 10 != 0)
-        .select(
-            "o_orderkey",
-            "o_orderdate",
-            F.explode(F.sequence(F.lit(1), F.when(k % 7 == 0, 2).otherwise(1))).alias("seq"),
-        )
-        .select(
-            F.concat_ws("-", k.cast("string"), seq.cast("string")).alias("review_id"),
-            k.cast("string").alias("order_id"),
-            ((k * 3 + seq * 2 + k % 3) % 5 + 1).cast("int").alias("review_score"),
-            F.timestamp_add("DAY", (seq + 30).cast("int"), F.col("o_orderdate")).alias(
-                "review_creation_date"
-            ),
-            F.when(k % 3 == 0, k % n_docs).alias("doc_id"),
-        )
+    numbered = orders.filter("o_orderkey % 10 <> 0").selectExpr(
+        "*", "explode(sequence(1, if(o_orderkey % 7 = 0, 2, 1))) as seq"
+    )
+    reviews = numbered.selectExpr(
+        "concat_ws('-', o_orderkey, seq) as review_id",
+        "cast(o_orderkey as string) as order_id",
+        "cast((o_orderkey * 3 + seq * 2 + o_orderkey % 3) % 5 + 1 as int) as review_score",
+        "timestampadd(DAY, seq + 30, o_orderdate) as review_creation_date",
+        "o_orderkey",
+    ).withColumn(
+        "doc_id", F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderkey") % n_docs)
     )
-    texts = documents.select("doc_id", F.col("text").alias("review_comment_message"))
-    return reviews.join(texts, "doc_id", "left").drop("doc_id")
+    texts = documents.selectExpr("doc_id", "text as review_comment_message")
+    return reviews.join(texts, "doc_id", "left").drop("doc_id", "o_orderkey")
 
 
+@lru_cache(maxsize=8)
 def read_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
+    """The eight inputs; opened once per session and folder, as plans without rows."""
+
     def opened(name: str) -> DataFrame:
         return table(spark, sf_dir, name)
 
@@ -127,23 +114,23 @@ def read_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     return Inputs(
         orders=lambda: _orders(opened("orders")),
         order_items=lambda: _items(opened("lineitem")),
-        products=lambda: opened("part").select(
-            F.col("p_partkey").cast("string").alias("product_id"),
-            F.col("p_type").alias("product_category_name"),
-            (F.col("p_size") * F.lit(200.0)).alias("product_weight_g"),
+        products=lambda: opened("part").selectExpr(
+            "cast(p_partkey as string) as product_id",
+            "p_type as product_category_name",
+            "p_size * 200D as product_weight_g",
         ),
-        customers=lambda: with_nation("customer", "c_nationkey").select(
-            F.col("c_custkey").cast("string").alias("customer_id"),
-            F.col("c_custkey").cast("string").alias("customer_unique_id"),
-            F.col("c_custkey").cast("int").alias("customer_zip_code_prefix"),
-            F.col("c_mktsegment").alias("customer_city"),
-            F.col("n_name").alias("customer_state"),
+        customers=lambda: with_nation("customer", "c_nationkey").selectExpr(
+            "cast(c_custkey as string) as customer_id",
+            "cast(c_custkey as string) as customer_unique_id",
+            "cast(c_custkey as int) as customer_zip_code_prefix",
+            "c_mktsegment as customer_city",
+            "n_name as customer_state",
         ),
-        sellers=lambda: with_nation("supplier", "s_nationkey").select(
-            F.col("s_suppkey").cast("string").alias("seller_id"),
-            F.col("s_suppkey").cast("int").alias("seller_zip_code_prefix"),
-            F.col("s_name").alias("seller_city"),
-            F.col("n_name").alias("seller_state"),
+        sellers=lambda: with_nation("supplier", "s_nationkey").selectExpr(
+            "cast(s_suppkey as string) as seller_id",
+            "cast(s_suppkey as int) as seller_zip_code_prefix",
+            "s_name as seller_city",
+            "n_name as seller_state",
         ),
         order_payments=lambda: _payments(opened("orders")),
         order_reviews=lambda: _reviews(opened("orders"), opened("documents")),
