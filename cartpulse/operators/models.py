@@ -164,6 +164,13 @@ def cross_validate(training: DataFrame, folds: int = 5) -> CrossValidatorModel:
         return validator.fit(rows)
 
 
+def cross_validated_fit(training: DataFrame, folds: int = 5) -> DataFrame:
+    """Mean and standard deviation of R squared over the folds."""
+    fitted = cross_validate(training, folds)
+    row = (folds, float(fitted.avgMetrics[0]), float(fitted.stdMetrics[0]))
+    return training.sparkSession.createDataFrame([row], "folds int, r2_mean double, r2_std double")
+
+
 def holdout_quality(items: DataFrame, predictors: Sequence[str] = DRIVERS) -> DataFrame:
     """MSE and R squared of a forest on a held-out fifth of the complete rows."""
     spark = items.sparkSession

@@ -453,12 +453,25 @@ def bootstrap_interval(
     )
 
 
-def rule_summary(prepared: DataFrame) -> DataFrame:
-    return summarise(rule_scores(simulate(prepared)), "RuleBased")
+def with_bootstrap(summary: DataFrame, scored: DataFrame, replicates: int = 500) -> DataFrame:
+    """The summary with bootstrap intervals in place of the normal ones."""
+    columns = summary.columns
+    drawn = bootstrap_interval(scored, replicates)
+    return (
+        summary.drop("ci_lower_95", "ci_upper_95").join(drawn, "scenario_id").select(*columns)
+    )
+
+
+def rule_summary(prepared: DataFrame, bootstrap: bool = False) -> DataFrame:
+    scored = rule_scores(simulate(prepared))
+    summary = summarise(scored, "RuleBased")
+    return with_bootstrap(summary, scored) if bootstrap else summary
 
 
 def forest_summary(
-    prepared: DataFrame, model: RandomForestRegressionModel | None = None
+    prepared: DataFrame,
+    model: RandomForestRegressionModel | None = None,
+    bootstrap: bool = False,
 ) -> DataFrame:
     """Scenario summary by the forest, fitted here unless one is given.
 
@@ -468,7 +481,10 @@ def forest_summary(
     spark = prepared.sparkSession
     with models.kept(prepared) as rows:
         fitted = model or models.review_forest().fit(training_rows(rows))
-        summary = summarise(forest_scores(simulate(rows), fitted), "RandomForest")
+        scored = forest_scores(simulate(rows), fitted)
+        summary = summarise(scored, "RandomForest")
+        if bootstrap:
+            summary = with_bootstrap(summary, scored)
         return spark.createDataFrame(summary.collect(), summary.schema)
 
 

@@ -213,12 +213,18 @@ OPERATORS: dict[str, RunQuery] = {
     "whatif_predictors": _on_mart(_predictors),
     "whatif_simulated_rows": _on_mart(_simulated),
     "whatif_rule_summary": _on_mart(_rule_summary),
+    "whatif_bootstrap_summary": _on_mart(
+        lambda m: whatif.rule_summary(_prepared(m), bootstrap=True)
+    ),
     "whatif_best_scenario": _on_mart(_best),
     "whatif_rule_detail": _on_mart(_rule_detail),
     "whatif_forest_detail": _on_mart(_forest_detail),
     "ml_customer_clusters": _on_mart(tables.customer_loyalty_rfm),
     "ml_cluster_profile": _on_mart(lambda m: models.cluster_profile(tables.loyalty_rfm(m))),
     "ml_elbow": _on_mart(lambda m: models.elbow(tables.loyalty_rfm(m))),
+    "ml_cross_validated_fit": _on_mart(
+        lambda m: models.cross_validated_fit(whatif.training_rows(_prepared(m)))
+    ),
     "ml_holdout_quality": _on_mart(
         lambda m: models.holdout_quality(m.items("review_score", *models.DRIVERS))
     ),

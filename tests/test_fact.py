@@ -174,39 +174,95 @@ def test_inputs_reject_other_tables():
         fact.Inputs(order=None)
 
 
-def test_hot_order_is_split_and_complete(spark, inputs_of):
+SKEW_SETTINGS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+@pytest.fixture
+def tiny_skew_limits(spark):
+    before = {key: spark.conf.get(key, None) for key in SKEW_SETTINGS}
+    for key, value in SKEW_SETTINGS.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def _with_items(inputs, items):
+    tables = {name: getattr(inputs, name) for name in fact.INPUTS}
+    return fact.Inputs(**(tables | {"order_items": items.repartition(8)}))
+
+
+def _hot(column: str):
+    return F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias(column)
+
+
+def _splits(df) -> bool:
+    return "SortMergeJoin(skew=true)" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_order_is_split_and_complete(spark, inputs_of, tiny_skew_limits):
     """A third of all items in one order: the join still gives every item."""
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-    }
-    before = {key: spark.conf.get(key, None) for key in settings}
     rows = spark.range(60_000).select(
-        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("order_id"),
+        _hot("order_id"),
         F.col("id").cast("int").alias("order_item_id"),
         F.lit("p1").alias("product_id"),
         F.lit("s1").alias("seller_id"),
         F.rand(7).alias("price"),
         F.lit(1.0).alias("freight_value"),
     )
-    empty = inputs_of(orders=[order("hot", order_status="shipped")],
-                      order_reviews=[{"review_id": "r", "order_id": "hot", "review_score": 2}])
-    tables = {name: getattr(empty, name) for name in fact.INPUTS} | {"order_items": rows.repartition(8)}
-    try:
-        for key, value in settings.items():
-            spark.conf.set(key, value)
-        joined = fact.item_fact(
-            fact.Inputs(**tables), ["order_id", "order_item_id", "price", "order_status", "review_score"]
-        )
-        found = joined.groupBy("order_status").agg(
-            F.count("*"), F.count_if(F.col("price") < 2), F.max("review_score")
-        )
-        assert rows_of(found) == [("shipped", 20_000, 20_000, 2), (None, 40_000, 40_000, None)]
-        assert "SortMergeJoin(skew=true)" in found._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    shop = inputs_of(
+        orders=[order("hot", order_status="shipped")],
+        order_reviews=[{"review_id": "r", "order_id": "hot", "review_score": 2}],
+    )
+    joined = fact.item_fact(
+        _with_items(shop, rows),
+        ["order_id", "order_item_id", "price", "order_status", "review_score"],
+    )
+    found = joined.groupBy("order_status").agg(
+        F.count("*"), F.count_if(F.col("price") < 2), F.max("review_score")
+    )
+    assert rows_of(found) == [("shipped", 20_000, 20_000, 2), (None, 40_000, 40_000, None)]
+    assert _splits(found)
+
+
+@pytest.mark.parametrize("hot", ["product_id", "seller_id"])
+def test_hot_product_or_seller_is_split_and_complete(spark, inputs_of, tiny_skew_limits, hot):
+    ids = {name: F.lit("x").alias(name) for name in ("product_id", "seller_id")} | {hot: _hot(hot)}
+    rows = spark.range(60_000).select(
+        F.col("id").cast("string").alias("order_id"),
+        F.col("id").cast("int").alias("order_item_id"),
+        *ids.values(),
+        F.rand(7).alias("price"),
+        F.lit(1.0).alias("freight_value"),
+    )
+    shop = inputs_of(
+        products=[{"product_id": "hot", "product_category_name": "casa"}],
+        sellers=[{"seller_id": "hot", "seller_state": "casa"}],
+    )
+    key = {"product_id": "product_category_name", "seller_id": "seller_state"}[hot]
+    found = fact.clean_lines(_with_items(shop, rows), [key]).groupBy(key).agg(F.sum("n_items"))
+    assert rows_of(found) == [("casa", 20_000), ("missing", 40_000)]
+    assert _splits(found)
+
+
+def test_hot_order_reaches_the_join_as_one_row(spark, inputs_of):
+    rows = spark.range(3_000).select(
+        F.lit("hot").alias("order_id"),
+        F.col("id").cast("int").alias("order_item_id"),
+        F.lit("p1").alias("product_id"),
+        F.lit("s1").alias("seller_id"),
+        F.lit(1.0).alias("price"),
+        F.lit(1.0).alias("freight_value"),
+    )
+    shop = _with_items(inputs_of(orders=[order("hot")]), rows)
+    lines = fact.clean_lines(shop, ["seller_id"], ["order_status"])
+    assert rows_of(lines, "seller_id", "n_items", "order_status") == [("s1", 3_000, "delivered")]
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("Aggregate")  # summed below the join

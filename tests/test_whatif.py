@@ -135,3 +135,13 @@ def test_bootstrap_interval_is_near_the_normal_one(spark):
     assert high == pytest.approx(values[0] + margin, abs=margin / 3)
     again = whatif.bootstrap_interval(scored).select("ci_lower_95", "ci_upper_95").first()
     assert (low, high) == tuple(again)
+
+
+def test_bootstrap_summary_replaces_the_interval_only(prepared):
+    plain = {r.scenario_id: r.asDict() for r in whatif.rule_summary(prepared).collect()}
+    drawn = whatif.rule_summary(prepared, bootstrap=True).collect()
+    assert len(drawn) == len(plain)
+    for row in drawn:
+        same = {k: v for k, v in row.asDict().items() if not k.startswith("ci_")}
+        assert same == {k: plain[row.scenario_id][k] for k in same}
+        assert row.ci_lower_95 < row.projected_avg_review < row.ci_upper_95
