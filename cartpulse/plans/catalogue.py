@@ -69,9 +69,8 @@ def _snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the fact as a snapshot and read the newest one back."""
     base = scratch.new_folder(spark, "snapshot")
     mart = mart_of(spark, sf_dir)
-    numbers = ("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value")
-    snapshots.write_snapshot(mart.raw_items(*numbers), base, RUN_DATE)
-    return snapshots.read_latest_snapshot(spark, base)
+    snapshots.write_snapshot(mart.raw_items(*FACT.fieldNames()), base, RUN_DATE)
+    return timestamps_to_text(snapshots.read_latest_snapshot(spark, base))
 
 
 # ------------------------------------------------------------------ texts
@@ -168,9 +167,8 @@ def _trend_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as a file stream; the totals of all micro-batches together."""
     folder = scratch.new_folder(spark, "trend")
     stream = (
-        spark.readStream.schema(testtables.SCHEMAS["events"])
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
+        # a stream takes folders; the pattern matches one file as well as a folder of parts
+        spark.readStream.schema(testtables.SCHEMAS["events"]).parquet(f"{sf_dir}/events.parque[t]")
     )
     running = trend.start_trend(
         testtables.events_as_items(stream), f"{folder}/trend", f"{folder}/state", once=True

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def new_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder every executor can reach.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors reach.
 
-    The cluster names its shared folder in ``spark.checkpoint.dir``; without it
-    (as in tests, where all tasks share one machine) a temporary one is made.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset (as in
+    tests) the warehouse is taken, never a folder of one machine.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        return tempfile.mkdtemp(prefix=f"cartpulse-{purpose}-")
-    return f"{shared.rstrip('/')}/cartpulse-{purpose}-{uuid.uuid4().hex}"
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
+def new_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder every executor can reach."""
+    return f"{shared_folder(spark)}/cartpulse-{purpose}-{uuid.uuid4().hex}"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -12,6 +13,10 @@ from cartpulse.operators.fact import as_item_grain
 CATEGORY = "product_category_name_english"
 EVERY = "5 minutes"
 BATCH = "batch_id"
+TREND_SCHEMA = (
+    f"{CATEGORY} string, total_orders bigint, total_revenue double, avg_review_score double,"
+    f" batch_time timestamp, ingested_date string, {BATCH} int"
+)
 
 
 def category_trend(items: DataFrame) -> DataFrame:
@@ -54,4 +59,10 @@ def start_trend(
 
 
 def read_trend(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(target)
+    """All batches written so far; a stream without any gives no rows."""
+    try:
+        return spark.read.parquet(target)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return spark.createDataFrame([], TREND_SCHEMA)
