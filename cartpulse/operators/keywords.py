@@ -129,11 +129,12 @@ def term_counts(corpus: DataFrame) -> DataFrame:
     )
 
 
-def keyword_scores(corpus: DataFrame, require_min_docs: bool = True) -> DataFrame:
+def keyword_scores(corpus: DataFrame, require_min_docs: bool = False) -> DataFrame:
     """TF-IDF and log-odds of every (bucket, word) in the vocabulary.
 
     The vocabulary keeps words that are neither too common (IDF) nor too rare
     (document frequency); totals for the log-odds are over all words.
+    ``require_min_docs`` gives no keywords at all for fewer than ``MIN_CORPUS`` texts.
     """
     counts = term_counts(corpus)
     sums = [F.sum(name).cast("double").alias(name) for name in counts.columns if name != "word"]
@@ -184,7 +185,7 @@ def keyword_scores(corpus: DataFrame, require_min_docs: bool = True) -> DataFram
 
 
 def top_keywords(
-    corpus: DataFrame, per_bucket: int = KEYWORDS_PER_BUCKET, require_min_docs: bool = True
+    corpus: DataFrame, per_bucket: int = KEYWORDS_PER_BUCKET, require_min_docs: bool = False
 ) -> DataFrame:
     """The best keywords of each bucket by their rounded TF-IDF."""
     best_first = Window.partitionBy("review_bucket").orderBy(F.desc("tfidf_score"), "keyword")

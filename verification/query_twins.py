@@ -379,8 +379,7 @@ SELECT order_id, count(*) AS n_items, CAST(sum(price_u) AS BIGINT) AS price_unit
        any_value(payment_value) AS payment_value, any_value(review_score) AS review_score,
        any_value(is_late_delivery) AS is_late_delivery
 FROM clean GROUP BY order_id""",
-        "fact_latest_snapshot": """
-SELECT order_id, order_item_id, product_id, seller_id, price, freight_value FROM fact""",
+        "fact_latest_snapshot": f"SELECT * REPLACE ({as_text}) FROM fact",
         "state_totals": f"""
 SELECT customer_state, {N} AS total_orders, {t.money('price')} AS total_revenue,
        {SCORE} AS avg_review_score, count(DISTINCT customer_unique_id) AS total_customers
