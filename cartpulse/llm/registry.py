@@ -4,15 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from cartpulse.llm import lines, simhash
+from cartpulse.llm import bestfit, completion, lines, packing, simhash
 from cartpulse.llm.tables import read
 
+WORD_BPE = "word_bpe_49k.json"
 RunQuery = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_packed_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path(WORD_BPE)
+    return bestfit.packed_matrices(read(spark, sf_dir, "documents"), tokenizer)
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path(WORD_BPE)
+    return packing.pack(read(spark, sf_dir, "documents"), tokenizer, completion.bin_completion)
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -22,7 +34,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, RunQuery]:
-    found = [op5_simhash_near_dedup, op6_line_dedup]
+    found = [op2_packed_matrices, op3_best_fit_packing, op5_simhash_near_dedup, op6_line_dedup]
     return {query.__name__: query for query in found} | {"pipeline": corpus_pipeline.run}
 
 
