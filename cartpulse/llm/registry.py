@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from cartpulse.llm import bestfit, completion, langid, lines, packing, quality, simhash
+from cartpulse.llm import bestfit, completion, langid, lines, packing, quality, simhash, warc
 from cartpulse.llm.tables import read
 
 WORD_BPE = "word_bpe_49k.json"
 RunQuery = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
 def op2_packed_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path(WORD_BPE)
     return bestfit.packed_matrices(read(spark, sf_dir, "documents"), tokenizer)
@@ -42,9 +46,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, RunQuery]:
-    found = [op2_packed_matrices, op3_best_fit_packing, op5_simhash_near_dedup, op6_line_dedup, op8_quality_rules, op10_language_id]
+    found = [op1_warc_salvage, op2_packed_matrices, op3_best_fit_packing, op5_simhash_near_dedup, op6_line_dedup, op8_quality_rules, op10_language_id]
     return {query.__name__: query for query in found} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_line_dedup": lines.LINE_SQL}
+    return {"op1_warc_salvage": warc.WARC_SQL, "op6_line_dedup": lines.LINE_SQL}
