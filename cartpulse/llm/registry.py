@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from cartpulse.llm import bestfit, completion, langid, lines, packing, quality, simhash, warc
+from cartpulse.llm import bestfit, completion, langid, lines, mixing, packing, quality, simhash, warc
 from cartpulse.llm.tables import read
 
 WORD_BPE = "word_bpe_49k.json"
@@ -29,6 +29,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer, completion.bin_completion)
 
 
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_order(read(spark, sf_dir, "documents"))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -46,7 +50,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, RunQuery]:
-    found = [op1_warc_salvage, op2_packed_matrices, op3_best_fit_packing, op5_simhash_near_dedup, op6_line_dedup, op8_quality_rules, op10_language_id]
+    found = [op1_warc_salvage, op2_packed_matrices, op3_best_fit_packing, op4_source_mixing, op5_simhash_near_dedup, op6_line_dedup, op8_quality_rules, op10_language_id]
     return {query.__name__: query for query in found} | {"pipeline": corpus_pipeline.run}
 
 
