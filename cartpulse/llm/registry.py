@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from cartpulse.llm import bestfit, completion, langid, lines, mixing, packing, quality, simhash, warc
+from cartpulse.llm import bestfit, completion, langid, lines, merkle, mixing, packing, quality, simhash, warc
 from cartpulse.llm.tables import read
 
 WORD_BPE = "word_bpe_49k.json"
@@ -41,6 +41,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_dedup(read(spark, sf_dir, "documents"))
 
 
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.fingerprints_with_edits(read(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -50,7 +54,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, RunQuery]:
-    found = [op1_warc_salvage, op2_packed_matrices, op3_best_fit_packing, op4_source_mixing, op5_simhash_near_dedup, op6_line_dedup, op8_quality_rules, op10_language_id]
+    found = [op1_warc_salvage, op2_packed_matrices, op3_best_fit_packing, op4_source_mixing, op5_simhash_near_dedup, op6_line_dedup, op7_document_fingerprints, op8_quality_rules, op10_language_id]
     return {query.__name__: query for query in found} | {"pipeline": corpus_pipeline.run}
 
 
