@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from cartpulse.llm import bestfit, completion, langid, lines, merkle, mixing, packing, quality, simhash, warc
+from cartpulse.llm import bestfit, completion, langid, lines, merkle, mixing, packing, quality, simhash, tools, warc
 from cartpulse.llm.tables import read
 
 WORD_BPE = "word_bpe_49k.json"
@@ -49,14 +49,18 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op9_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tools.linked_calls(read(spark, sf_dir, "conversations"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, RunQuery]:
-    found = [op1_warc_salvage, op2_packed_matrices, op3_best_fit_packing, op4_source_mixing, op5_simhash_near_dedup, op6_line_dedup, op7_document_fingerprints, op8_quality_rules, op10_language_id]
+    found = [op1_warc_salvage, op2_packed_matrices, op3_best_fit_packing, op4_source_mixing, op5_simhash_near_dedup, op6_line_dedup, op7_document_fingerprints, op8_quality_rules, op9_tool_call_linking, op10_language_id]
     return {query.__name__: query for query in found} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc_salvage": warc.WARC_SQL, "op6_line_dedup": lines.LINE_SQL}
+    return {"op1_warc_salvage": warc.WARC_SQL, "op6_line_dedup": lines.LINE_SQL, "op9_tool_call_linking": tools.TOOLS_SQL}
