@@ -15,13 +15,13 @@ only: every piece is always placed.
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 
 from cartpulse.llm.bestfit import best_fit_decreasing
 from cartpulse.llm.packing import CAPACITY, Filling, Plan
 
-MAX_NODES = 2_000
-WIDTH = 64
+MAX_NODES = 300
+WIDTH = 16
 
 
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
@@ -31,16 +31,21 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
     the capacity get sequences of their own; what is left of k and more in between
     must fit in the room beside the latter.
     """
-    total = sum(length * n for length, n in counts.items())
-    best = -(-total // capacity)
     lengths = sorted(counts)
-    for k in {0, *(length for length in lengths if 2 * length <= capacity)}:
-        alone = sum(counts[x] for x in lengths if x > capacity - k)
-        halves = [x for x in lengths if 2 * x > capacity and x <= capacity - k]
-        n_halves = sum(counts[x] for x in halves)
-        room = n_halves * capacity - sum(x * counts[x] for x in halves)
-        small = sum(x * counts[x] for x in lengths if k <= x and 2 * x <= capacity)
-        best = max(best, alone + n_halves + max(0, -(-(small - room) // capacity)))
+    n_upto, sum_upto = [0], [0]  # over the lengths before each place
+    for x in lengths:
+        n_upto.append(n_upto[-1] + counts[x])
+        sum_upto.append(sum_upto[-1] + x * counts[x])
+    middle = bisect_right(lengths, capacity // 2)
+    best = -(-sum_upto[-1] // capacity)
+    for k in {0, *lengths[:middle]}:
+        most = bisect_right(lengths, capacity - k)
+        least = bisect_left(lengths, k)
+        alone = n_upto[-1] - n_upto[most]
+        halves = n_upto[most] - n_upto[middle]
+        room = halves * capacity - (sum_upto[most] - sum_upto[middle])
+        small = sum_upto[middle] - sum_upto[least]
+        best = max(best, alone + halves + max(0, -(-(small - room) // capacity)))
     return best
 
 
@@ -75,7 +80,7 @@ def fillings(
     if room in left and left[room]:
         return [(room,)]  # fills the room, dominates all others
     found: list[tuple[int, list[int]]] = []
-    steps = 100 * width
+    steps = 20 * width
 
     def extend(at: int, chosen: list[int], free: int) -> None:
         nonlocal steps
