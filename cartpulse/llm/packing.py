@@ -137,7 +137,7 @@ def ranked(cut: DataFrame, total: int) -> DataFrame:
     A length that a third of all pieces have is spread over shards; the rank is
     the place in the shard plus the pieces of the shards before it.
     """
-    shards = max(1, -(-total // ROWS_PER_SHARD))
+    shards = max(tables.tasks(cut), -(-total // ROWS_PER_SHARD))
     sharded = cut.withColumn(
         "shard", F.pmod(F.xxhash64("uid"), F.lit(shards)).cast("int")
     )
