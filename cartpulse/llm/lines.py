@@ -84,17 +84,18 @@ class LineRuns:
     def add(self, lines: DataFrame) -> DataFrame:
         """Add a batch of (key, batch, doc_id), one row per key and document.
 
-        Gives the batch's rows whose keys were not settled before it.
+        The rows are counted per key first, so a line of a third of the batch reaches the
+        join as one row. Gives the run that was added: the keys not settled before.
         """
-        fresh = lines
-        if self.settled_runs:
-            known = self.settled().select("key").hint("merge")
-            fresh = lines.join(known, "key", "left_anti")
-        counted = fresh.groupBy("key").agg(
+        counted = lines.groupBy("key").agg(
             F.count("*").alias("n_docs"), F.min(F.struct("batch", "doc_id")).alias("first")
         )
-        self._put(0, self._write(counted))
-        return fresh
+        if self.settled_runs:
+            known = self.settled().select("key").hint("merge")
+            counted = counted.join(known, "key", "left_anti")
+        path = self._write(counted)
+        self._put(0, path)
+        return self.spark.read.schema(f"{RUN}, settled int").parquet(path).drop("settled")
 
     def _put(self, level: int, path: str) -> None:
         self.settled_runs.append(path)
