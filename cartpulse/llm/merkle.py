@@ -158,20 +158,27 @@ def fingerprints_with_edits(docs: DataFrame) -> DataFrame:
 
     The edit replaces the last half of the characters by as many first characters of
     the next document. Those characters and the next document's leaves travel to the
-    document; the texts themselves are shuffled once, by id, for both joins.
+    document. Both joins read the texts by the same key and the same two columns, so
+    Spark shuffles the texts once.
     """
+    doc_id = F.col("doc_id").cast("long")
+    half = F.floor(F.length("text") / 2).cast("int")
     source = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+        # the id as text, a null one empty: a key that plain equality can join
+        F.coalesce(doc_id.cast("string"), F.lit("")).alias("key"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    half = F.floor(F.length("text") / 2).cast("int")
-    ids = source.groupBy("doc_id").agg(
+    known_id = F.when(F.col("key") != "", F.col("key").cast("long"))
+    ids = source.groupBy("key").agg(
         F.min(F.xxhash64("text")).alias("hash"), F.max(half).alias("half")
     )
-    links = with_next(ids).select("next_doc_id", "next_hash", F.col("doc_id").alias("of"), "half")
+    links = with_next(ids.select(known_id.alias("doc_id"), "key", "hash", "half")).select(
+        "next_key", "next_hash", F.col("key").alias("of"), "half"
+    )
+    # a difference, so that the hash is no part of the key and the shuffle stays the same
+    is_first = F.xxhash64("text") - F.col("next_hash") == 0
     given = (
-        source.join(links, F.col("doc_id").eqNullSafe(F.col("next_doc_id")))
-        .filter(F.xxhash64("text") == F.col("next_hash"))
+        source.join(links, (F.col("key") == F.col("next_key")) & is_first)
         .select(
             "of",
             F.substr("text", F.lit(1), F.col("half")).alias("head"),
@@ -180,8 +187,8 @@ def fingerprints_with_edits(docs: DataFrame) -> DataFrame:
         .dropDuplicates(["of"])
     )
     n_kept = F.length("text") - half
-    edited = source.join(given, F.col("doc_id").eqNullSafe(F.col("of"))).select(
-        "doc_id",
+    edited = source.join(given, F.col("key") == F.col("of")).select(
+        known_id.alias("doc_id"),
         "text",
         F.concat(
             F.substr("text", F.lit(1), n_kept), F.substr("head", F.lit(1), half)
