@@ -94,7 +94,7 @@ def _ball(width: int, radius: int) -> list[int]:
 def _value(fp: Column, number: int, first: int, width: int) -> Column:
     """A segment's bits, with the segment's number above them."""
     bits = F.shiftrightunsigned(fp, first).bitwiseAND(F.lit((1 << width) - 1))
-    return bits.bitwiseOR(F.lit(number << 58 if width < 58 else 0))
+    return bits.bitwiseOR(F.lit(number << 58))
 
 
 def _around(value: Column, masks: list[int]) -> Column:
@@ -105,6 +105,8 @@ def _around(value: Column, masks: list[int]) -> Column:
 
 def links(fps: DataFrame, radius: int, segments: int) -> DataFrame:
     """Pairs (a, b) with a < b of the different fingerprints in ``fp``."""
+    if not 2 <= segments <= 16:
+        raise ValueError("2 to 16 segments")
     layout = list(enumerate(_segments(segments)))
     ball = radius // segments
     entries = fps.select(
