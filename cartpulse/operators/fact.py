@@ -82,7 +82,11 @@ class Inputs:
 
 def payments_per_order(payments: DataFrame) -> DataFrame:
     """One row per order: first known payment type, most installments, total value."""
-    known = F.when(F.col("payment_type").isNotNull(), F.col("payment_sequential"))
+    # payments without a number come last, then by type: a missing order loses no type
+    number = F.col("payment_sequential")
+    known = F.when(
+        F.col("payment_type").isNotNull(), F.struct(number.isNull(), number, "payment_type")
+    )
     return payments.groupBy("order_id").agg(
         F.min_by("payment_type", known).alias("payment_type"),
         F.max("payment_installments").alias("payment_installments"),

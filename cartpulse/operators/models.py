@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 SEED = 42
 CLUSTERS = 4
+# A forest of 200 trees learns from this many labelled rows at most.
+MAX_LABELLED = 20_000
 RFM = ("recency_days", "frequency", "monetary")
 # Predictors of the driver forest.
 DRIVERS = (
@@ -140,12 +142,23 @@ def review_forest() -> RandomForestRegressor:
     )
 
 
-def fit_review_forest(training: DataFrame) -> RandomForestRegressionModel:
-    with kept(training.select("features", "review_score")) as rows:
+def labelled_sample(training: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
+    """The ``max_labelled`` rows first by a hash of their key; all if there are fewer."""
+    keys = [name for name in ("order_id", "order_item_id") if name in training.columns]
+    place = F.xxhash64(*keys) if keys else F.xxhash64(F.col("features").cast("string"))
+    return training.orderBy(place).limit(max_labelled)
+
+
+def fit_review_forest(
+    training: DataFrame, max_labelled: int = MAX_LABELLED
+) -> RandomForestRegressionModel:
+    with kept(labelled_sample(training, max_labelled).select("features", "review_score")) as rows:
         return review_forest().fit(rows)
 
 
-def cross_validate(training: DataFrame, folds: int = 5) -> CrossValidatorModel:
+def cross_validate(
+    training: DataFrame, folds: int = 5, max_labelled: int = MAX_LABELLED
+) -> CrossValidatorModel:
     """k-fold R squared of the review forest; its best model is fitted on all rows.
 
     The fold of a row follows from its values and so survives recomputation.
@@ -158,9 +171,11 @@ def cross_validate(training: DataFrame, folds: int = 5) -> CrossValidatorModel:
         foldCol="fold",
         seed=SEED,
     )
-    keys = [F.col(name) for name in ("order_id", "order_item_id") if name in training.columns]
-    fold = F.pmod(F.xxhash64(*(keys or [F.col("features").cast("string")])), F.lit(folds)).cast("int")
-    with kept(training.select("features", "review_score", fold.alias("fold"))) as rows:
+    # items of an order share its score and so its fold
+    key = F.col("order_id") if "order_id" in training.columns else F.col("features").cast("string")
+    fold = F.pmod(F.xxhash64(key), F.lit(folds)).cast("int")
+    bounded = labelled_sample(training, max_labelled)
+    with kept(bounded.select("features", "review_score", fold.alias("fold"))) as rows:
         return validator.fit(rows)
 
 
@@ -174,12 +189,19 @@ def cross_validated_fit(training: DataFrame, folds: int = 5) -> DataFrame:
 def holdout_quality(items: DataFrame, predictors: Sequence[str] = DRIVERS) -> DataFrame:
     """MSE and R squared of a forest on a held-out fifth of the complete rows."""
     spark = items.sparkSession
-    rows = assemble(items.select("review_score", *predictors).na.drop(), predictors)
+    keyed = "order_id" in items.columns
+    # by order, so that a recomputed row falls in the same part; items of an order too
+    fifth = F.pmod(F.xxhash64("order_id"), F.lit(5)) if keyed else F.lit(None).cast("long")
+    columns = items.select("review_score", *predictors, fifth.alias("fifth"))
+    rows = assemble(columns.na.drop(subset=["review_score", *predictors]), predictors)
     forest = RandomForestRegressor(
         labelCol="review_score", numTrees=100, maxDepth=10, featureSubsetStrategy="all", seed=SEED
     )
-    with kept(rows.select("features", "review_score")) as complete:
-        training, held_out = complete.randomSplit([0.8, 0.2], seed=SEED)
+    with kept(rows.select("features", "review_score", "fifth")) as complete:
+        if keyed:
+            training, held_out = complete.filter("fifth <> 0"), complete.filter("fifth = 0")
+        else:
+            training, held_out = complete.randomSplit([0.8, 0.2], seed=SEED)
         scored = forest.fit(training).transform(held_out)
         measured = [
             (name, RegressionEvaluator(labelCol="review_score", metricName=name).evaluate(scored))

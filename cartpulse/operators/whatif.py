@@ -401,30 +401,18 @@ def summarise(scored: DataFrame, model_type: str) -> DataFrame:
 def bootstrap_interval(
     scored: DataFrame, replicates: int = 500, digits: int = 3, seed: int = models.SEED
 ) -> DataFrame:
-    """95 % percentile interval of the mean score by a seeded Poisson bootstrap.
+    """95 % percentile interval of the mean score by a seeded Bayesian bootstrap.
 
-    Works on the histogram of the scores (a few thousand bins per scenario once
-    rounded), not on the rows: a bin drawn with Poisson(1) weights per row weighs
-    Poisson(count), taken as normal from 50 rows on and otherwise drawn by
-    inverting its distribution function.
+    Works on the histogram of the scores, in steps of ``digits`` decimals as they are
+    reported, not on the rows. Each row weighs Exp(1), so a bin of n rows weighs
+    Gamma(n), drawn for every n by the Wilson-Hilferty formula.
     """
     histogram = scored.groupBy("scenario_id", F.round("predicted", digits).alias("score")).agg(
         F.count("*").cast("double").alias("rows")
     )
-    rows, uniform = F.col("rows"), F.col("uniform")
-    # smallest k with CDF(k) >= u, walked up to a bound no small bin reaches
-    start = F.struct(F.exp(-rows).alias("p"), F.exp(-rows).alias("cdf"), F.lit(0).alias("k"))
-
-    def step(state: Column, k: Column) -> Column:
-        p = state.getField("p") * rows / k
-        return F.when(
-            state.getField("cdf") < uniform,
-            F.struct(p.alias("p"), (state.getField("cdf") + p).alias("cdf"), k.alias("k")),
-        ).otherwise(state)
-
-    inverted = F.aggregate(
-        F.sequence(F.lit(1), F.lit(150)), start, step, lambda state: state.getField("k")
-    )
+    rows = F.col("rows")
+    normal = F.sqrt(F.log("uniform") * -2) * F.cos("angle")
+    root = F.lit(1.0) - 1 / (9 * rows) + normal / (3 * F.sqrt(rows))
     drawn = (
         histogram.select(
             "*", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("replicate")
@@ -435,14 +423,7 @@ def bootstrap_interval(
         .withColumn("h2", F.xxhash64("h1", F.lit(seed + 1)))
         .withColumn("uniform", (F.pmod("h1", F.lit(2**52)) + 0.5) / float(2**52))
         .withColumn("angle", (F.pmod("h2", F.lit(2**52)) + 0.5) / float(2**52) * (2 * math.pi))
-        .withColumn(
-            "weight",
-            F.when(rows < 50, inverted.cast("double")).otherwise(
-                F.greatest(
-                    rows + F.sqrt(rows) * F.sqrt(F.log(uniform) * -2) * F.cos("angle"), F.lit(0.0)
-                )
-            ),
-        )
+        .withColumn("weight", rows * F.pow(F.greatest(root, F.lit(0.0)), 3))
     )
     means = drawn.groupBy("scenario_id", "replicate").agg(
         F.try_divide(F.sum(F.col("weight") * F.col("score")), F.sum("weight")).alias("mean")
@@ -480,7 +461,7 @@ def forest_summary(
     """
     spark = prepared.sparkSession
     with models.kept(prepared) as rows:
-        fitted = model or models.review_forest().fit(training_rows(rows))
+        fitted = model or models.fit_review_forest(training_rows(rows))
         scored = forest_scores(simulate(rows), fitted)
         summary = summarise(scored, "RandomForest")
         if bootstrap:

@@ -224,7 +224,7 @@ OPERATORS: dict[str, RunQuery] = {
         lambda m: models.cross_validated_fit(whatif.training_rows(_prepared(m)))
     ),
     "ml_holdout_quality": _on_mart(
-        lambda m: models.holdout_quality(m.items("review_score", *models.DRIVERS))
+        lambda m: models.holdout_quality(m.items("order_id", "review_score", *models.DRIVERS))
     ),
     "ml_forest_scenarios": _on_mart(tables.simulation_scenarios),
     "stream_category_trend": _trend_stream,

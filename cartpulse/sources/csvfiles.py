@@ -43,6 +43,7 @@ def read_csv(
     rows = (
         spark.read.schema(layout)
         .option("header", True)
+        .option("enforceSchema", False)  # a file with another header fails, it is not misread
         .option("encoding", encoding)
         .option("multiLine", multi_line)
         .option("escape", '"')
