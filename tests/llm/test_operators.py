@@ -225,6 +225,58 @@ def test_mixing_keeps_all_rows(frame):
         mixing.quotas({"a": 0.0}, 10)
 
 
+def shingle_sets(texts):
+    words = [t.split() for t in texts]
+    return [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in words]
+
+
+def test_stage_keeps_one_of_near_copies_and_all_others(frame):
+    draw = random.Random(5)
+    texts, group = [], []
+    for n in range(40):
+        words = [f"w{draw.randrange(10**6)}" for _ in range(400)]
+        for copy in range(1 + n % 3):
+            edited = list(words)
+            for at in draw.sample(range(400), 4 * copy):  # 20 of 400 shingles for 4 words
+                edited[at] = "edit"
+            texts.append(" ".join(edited))
+            group.append(n)
+    sets = shingle_sets(texts)
+    for i, n in enumerate(group):
+        first = group.index(n)
+        assert len(sets[i] & sets[first]) / len(sets[i] | sets[first]) >= 0.8
+    kept = simhash.dedup_stage(frame("doc_id bigint, text string", list(enumerate(texts)))).collect()
+    assert sorted(group[r.doc_id] for r in kept) == list(range(40))
+    assert all(r.doc_id == group.index(group[r.doc_id]) for r in kept)
+
+
+def test_wide_links_by_brute_force(frame):
+    draw = random.Random(6)
+    starts = [[draw.getrandbits(64) for _ in range(4)] for _ in range(12)]
+    nodes = [(n // 2, *longs) for n, longs in enumerate(starts)]
+    for n, longs in enumerate(starts):
+        for flips in (8, 30, 60):
+            near = [longs[0] ^ 1 << flips, *longs[1:]]  # fp differs, as in folded rows
+            for bit in draw.sample(range(64, 256), flips):
+                near[bit // 64] ^= 1 << bit % 64
+            nodes.append((100 + 3 * n + flips % 7, *near))
+    signed = [(r, *(x - (1 << 64) * (x >> 63) for x in longs)) for r, *longs in nodes]
+    df = frame("root bigint, fp bigint, fp1 bigint, fp2 bigint, fp3 bigint", signed)
+    got = {frozenset((r.a, r.b)) for r in simhash.wide_links(df, 44, 16).collect()}
+
+    def segments(longs):
+        return [(x >> 20 * i) & 0xFFFFF for x in longs[1:] for i in range(2)]
+
+    want = set()
+    for i, (r, *a) in enumerate(nodes):
+        for q, *b in nodes[:i]:
+            bits = [(x ^ y).bit_count() for x, y in zip(a, b)]
+            met = any((x ^ y).bit_count() <= 2 for x, y in zip(segments(a), segments(b)))
+            if r != q and met and bits[0] <= 16 and sum(bits) <= 44:
+                want.add(frozenset((r, q)))
+    assert got == want and want
+
+
 # ------------------------------------------------------------------ fingerprints
 
 
