@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartpulse.llm import tables
+from cartpulse.llm import similar, tables
 from cartpulse.llm.components import components
 
 SEED = 42
@@ -270,25 +270,13 @@ def near_duplicates(
     )
 
 
-def dedup_stage(
-    docs: DataFrame,
-    words_per_shingle: int = 5,
-    radius: int = 5,
-    segments: int = 3,
-    longs: int = 4,
-    wide_radius: int = 44,
-    first_radius: int = 16,
-) -> DataFrame:
-    """The documents' own columns, one document of each group.
+def dedup_stage(docs: DataFrame, words_per_shingle: int = 5) -> DataFrame:
+    """The documents' own columns, one document of each group of similar ones.
 
-    Shingle sets of similarity 0.8 are 0.15 of the bits apart on average, 10 of 64 or
-    39 of 256. Sixty-four bits alone cannot tell that from chance, so pairs beyond
-    ``radius`` bits of them are judged by 256.
+    Fingerprints only estimate a similarity, so links come from ``similar``: all pairs
+    of 4/5 or more of the different shingles, and no others.
     """
-    found = near_groups(
-        docs, words_per_shingle, radius, segments, longs, wide_radius, first_radius
-    )
-    keepers = found.select(F.col("keeper").alias("row_key")).distinct()
+    keepers = similar.similar_groups(docs, words_per_shingle).withColumnRenamed("keeper", "row_key")
     key = tables.free_name(docs, "row_key")
     marked = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), "text"))
     kept = marked.join(keepers, marked[key] == keepers["row_key"], "left_semi")
