@@ -16,3 +16,35 @@ def test_stage_keeps_documents_that_share_a_running_line(frame):
     ]
     kept = simhash.dedup_stage(frame("doc_id bigint, text string", list(enumerate(texts))))
     assert kept.count() == 12
+
+
+def shingle_sets(texts):
+    words = [t.split() for t in texts]
+    return [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in words]
+
+
+def test_stage_finds_all_pairs_by_brute_force(frame):
+    draw = random.Random(8)
+    texts = []
+    for n in range(150):
+        words = [f"w{draw.randrange(10**6)}" for _ in range(draw.choice((6, 40, 300)))]
+        edited = list(words)
+        for at in draw.sample(range(len(words)), max(1, len(words) * draw.randint(5, 40) // 1000)):
+            edited[at] = f"edit{n}"
+        texts += [" ".join(words), " ".join(edited)]
+    texts = draw.sample(texts, len(texts))
+    sets = shingle_sets(texts)
+    group = list(range(len(texts)))
+    near = 0
+    for i, a in enumerate(sets):
+        for j in range(i):
+            share = len(a & sets[j])
+            if share and 5 * share >= 4 * len(a | sets[j]):
+                group = [group[j] if g == group[i] else g for g in group]
+                near += 0.8 <= share / len(a | sets[j]) < 0.85
+    assert near >= 10
+    kept = simhash.dedup_stage(frame("doc_id bigint, text string", list(enumerate(texts)))).collect()
+    first = {}
+    for i, g in enumerate(group):
+        first.setdefault(g, i)
+    assert sorted(r.doc_id for r in kept) == sorted(first.values())
