@@ -6,14 +6,13 @@ for several. Block k of a source with weight w is released at slot floor(k / w)
 at ceil((k + 1) / w); the slots go to the released block with the earliest deadline.
 Up to any slot t a source then has had w * t blocks, less than one off.
 
-With weights in fractions of a ``period`` the schedule repeats: the driver works out
-one period (a slot list per source), and the slot of every block follows by
-arithmetic, in parallel. When a source has given its last block, the weights of the
-rest are scaled up and a new phase begins, so there are as many phases as sources
-at most and no document is left out or repeated.
+Releases and deadlines are taken from the weights themselves, in whole numbers, over the
+whole phase, so the deviation does not grow with the input. When a source has given its
+last block, the weights of the rest are scaled up and a new phase begins, so there are
+as many phases as sources at most and no document is left out or repeated.
 
-The driver holds numbers per source only; more than ``MAX_SOURCES`` sources are refused
-with an error, as their weights would be no mixture.
+The driver holds one number per block (8 bytes for ``block_chars`` characters); more than
+``MAX_SOURCES`` sources are refused with an error, as their weights would be no mixture.
 
 Defined cases: a null source is a source of its own; a null or empty text counts as
 one character; repeated rows are mixed each, next to one another; an empty table
@@ -24,8 +23,10 @@ power ``temperature``; weights that are null, zero or negative are an error.
 from __future__ import annotations
 
 import heapq
+import math
+from array import array
 from collections.abc import Mapping
-from dataclasses import dataclass
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -40,48 +41,38 @@ MAX_SOURCES = 2_000
 SHARDS = 1_024
 
 
-def quotas(weights: Mapping[str, float], period: int) -> dict[str, int]:
-    """Slots of a period per source: at least one each, the rest by weight."""
-    period = max(period, 4 * len(weights))
-    if not all(w and w > 0 for w in weights.values()):
+def quotas(weights: Mapping[str, float], period: int = PERIOD) -> dict[str, int]:
+    """Whole numbers in exactly the proportion of the weights, ``period`` in all at least."""
+    if not all(w and w > 0 and math.isfinite(w) for w in weights.values()):
         raise ValueError("weights must be positive")
-    total, free = sum(weights.values()), period - len(weights)
-    exact = {name: weights[name] / total * free for name in sorted(weights)}
-    given = {name: int(share) for name, share in exact.items()}
-    short = free - sum(given.values())
-    for name in sorted(exact, key=lambda n: (given[n] - exact[n], n))[:short]:
-        given[name] += 1
-    return {name: n + 1 for name, n in given.items()}
-
-
-def one_period(quota: Mapping[str, int]) -> dict[str, list[int]]:
-    """Slots of each source's blocks in one period: released, earliest deadline first."""
-    period = sum(quota.values())
-    waiting = [(0, name, 0) for name in sorted(quota)]  # (release, source, block)
-    heapq.heapify(waiting)
-    ready: list[tuple[int, str, int]] = []
-    slots: dict[str, list[int]] = {name: [] for name in quota}
-    for now in range(period):
+    exact = {name: Fraction(weights[name]) for name in sorted(weights)}
+    shared = math.lcm(*(w.denominator for w in exact.values()))
+    whole = {name: int(w * shared) for name, w in exact.items()}
+    divisor = math.gcd(*whole.values()) or 1
+    times = -(-period * divisor // max(sum(whole.values()), 1))
+    return {name: n // divisor * times for name, n in whole.items()}
+
+
+def one_phase(quota: Mapping[str, int], left: Mapping[str, int]) -> dict[str, array]:
+    """Slots of each source's blocks until one has given all it has ``left``."""
+    total = sum(quota.values())
+    waiting = [(0, name) for name in sorted(quota)]  # (release, source)
+    ready: list[tuple[int, str]] = []  # (deadline, source)
+    slots = {name: array("q") for name in quota}
+    now = 0
+    while True:
         while waiting and waiting[0][0] <= now:
-            _, name, k = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(k + 1) * period // quota[name]), name, k))
-        due, name, k = heapq.heappop(ready)
+            _, name = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-(len(slots[name]) + 1) * total // quota[name]), name))
+        due, name = heapq.heappop(ready)
         if due <= now:
             raise ValueError("a deadline is missed")
-        slots[name].append(now)
-        if k + 1 < quota[name]:
-            heapq.heappush(waiting, ((k + 1) * period // quota[name], name, k + 1))
-    return slots
-
-
-@dataclass
-class _Phase:
-    """From block ``first`` of a source on: its slots, repeated every ``period`` from ``base``."""
-
-    first: int
-    base: int
-    period: int
-    slots: np.ndarray
+        own = slots[name]
+        own.append(now)
+        if len(own) == left[name]:
+            return slots
+        heapq.heappush(waiting, (len(own) * total // quota[name], name))
+        now += 1
 
 
 class Schedule:
@@ -90,37 +81,22 @@ class Schedule:
     def __init__(
         self, blocks: Mapping[str, int], weights: Mapping[str, float], period: int = PERIOD
     ) -> None:
-        self.phases: dict[str, list[_Phase]] = {name: [] for name in blocks}
+        parts: dict[str, list[np.ndarray]] = {name: [] for name in blocks}
         left = {name: n for name, n in blocks.items() if n}
-        given, base = dict.fromkeys(left, 0), 0
+        base = 0
         while left:
-            quota = quotas({name: weights[name] for name in left}, period)
-            length = sum(quota.values())
-            slots = {name: np.array(s) for name, s in one_period(quota).items()}
-            ends = {
-                name: (n - 1) // quota[name] * length + int(slots[name][(n - 1) % quota[name]]) + 1
-                for name, n in left.items()
-            }
-            stop = min(ends.values())
-            for name in list(left):
-                self.phases[name].append(_Phase(given[name], base, length, slots[name]))
-                used = stop // length * quota[name] + int((slots[name] < stop % length).sum())
-                given[name] += used
-                left[name] -= used
+            given = one_phase(quotas({name: weights[name] for name in left}, period), left)
+            for name, slots in given.items():
+                parts[name].append(np.array(slots, dtype=np.int64) + base)
+                left[name] -= len(slots)
                 if not left[name]:
                     del left[name]
-            base += stop
+            base += sum(map(len, given.values()))
+        none = np.empty(0, dtype=np.int64)
+        self.found = {name: np.concatenate([none, *own]) for name, own in parts.items()}
 
     def slots(self, source: str, block: np.ndarray) -> np.ndarray:
-        phases = self.phases[source]
-        at = np.searchsorted([phase.first for phase in phases], block, side="right") - 1
-        found = np.empty(len(block), dtype=np.int64)
-        for i, phase in enumerate(phases):
-            here = at == i
-            k = block[here] - phase.first
-            each = len(phase.slots)
-            found[here] = phase.base + k // each * phase.period + phase.slots[k % each]
-        return found
+        return self.found[source][block]
 
 
 def _blocked(docs: DataFrame, block_chars: int, carried: list[str]) -> DataFrame:
