@@ -42,6 +42,8 @@ _CHUNK = 1 << 16
 _VERSION = b"WARC/1.1"
 _SIGNATURE = b"\x1f\x8b\x08"
 _NEXT = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
+# a header ends before the next record's version line, however long it is
+_HEADER_END = re.compile(rb"\r\n\r\n|\nWARC/1\.[01]\r\n")
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 _EMPTY_MEMBER = zlib.compress(b"", 9, 31)
 RECORD = (
@@ -178,11 +180,12 @@ def _inflated(data: memoryview, at: int) -> _Member:
 
 def parse_record(data: bytes, at: int = 0) -> tuple[int, dict[str, str], bytes, str]:
     """(end, header, block, problem) of the record at ``at``."""
-    end = data.find(b"\r\n\r\n", at, at + _CHUNK)
     if not data.startswith((b"WARC/1.0\r\n", b"WARC/1.1\r\n"), at):
         return at, {}, b"", "no version line"
-    if end < 0:
+    stop = _HEADER_END.search(data, at)
+    if not stop or stop[0] != b"\r\n\r\n":
         return at, {}, b"", "header has no end"
+    end = stop.start()
     header = {}
     for line in data[at:end].split(b"\r\n")[1:]:
         name, _, value = line.partition(b":")
