@@ -42,6 +42,7 @@ _CHUNK = 1 << 16
 _VERSION = b"WARC/1.1"
 _SIGNATURE = b"\x1f\x8b\x08"
 _NEXT = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
+_LINE = re.compile(rb"WARC/1\.[01]\r\n")
 # a header ends before the next record's version line, however long it is
 _HEADER_END = re.compile(rb"\r\n\r\n|\nWARC/1\.[01]\r\n")
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
@@ -203,23 +204,42 @@ def parse_record(data: bytes, at: int = 0) -> tuple[int, dict[str, str], bytes,
     return close + 4, header, block, ""
 
 
+def _records(data: bytes) -> list[tuple[dict[str, str], bytes] | str]:
+    """(header, block) of every sound record of an inflated member, a reason for what is between."""
+    found, at, reason = [], 0, ""
+    while at < len(data):
+        end, header, block, problem = parse_record(data, at)
+        if problem:
+            reason = reason or problem
+            following = _LINE.search(data, at + 1)
+            at = following.start() if following else len(data)
+            continue
+        if reason:
+            found.append(reason)
+        found.append((header, block))
+        at, reason = end, ""
+    return [*found, reason] if reason else found
+
+
 def salvage(data: bytes) -> Iterator[tuple[int, int, dict[str, str] | str, bytes]]:
-    """(at, bytes, header, block) of every sound record, (at, bytes, reason, b"") of every gap."""
+    """(at, bytes, header, block) of every sound record, (at, bytes, reason, b"") of every gap.
+
+    What stands in one member has the member's place; its bytes count with the first.
+    """
     at, gap_at, reason = 0, 0, ""
     view = memoryview(data)
     while at < len(data):
-        problem, end, found = "neither member nor version line", at, None
+        problem, end, found = "neither member nor version line", at, []
         if data.startswith(_SIGNATURE, at):
             inflated = _inflated(view, at)
             end, problem = inflated.end, inflated.problem
             if not problem and inflated.data:
-                last, header, block, problem = parse_record(inflated.data)
-                if not problem and last != len(inflated.data):
-                    problem = "more than a record in a member"
-                found = (header, block)
+                found = _records(inflated.data)
+                if all(isinstance(what, str) for what in found):
+                    problem = found[0]
         elif data.startswith(b"WARC/", at):
             end, header, block, problem = parse_record(data, at)
-            found = (header, block)
+            found = [(header, block)]
         if problem:
             reason = reason or problem
             following = _NEXT.search(data, at + 1)
@@ -227,8 +247,10 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, dict[str, str] | str, bytes
             continue
         if reason:
             yield gap_at, at - gap_at, reason, b""
-        if found:
-            yield at, end - at, *found
+        size = end - at
+        for what in found:
+            yield (at, size, what, b"") if isinstance(what, str) else (at, size, *what)
+            size = 0
         at = gap_at = end
         reason = ""
     if reason:
