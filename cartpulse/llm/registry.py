@@ -8,7 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from cartpulse.llm import bestfit, completion, langid, lines, merkle, mixing, packing, quality, simhash, tools, warc
+from cartpulse.llm import (
+    adaptjoin,
+    bestfit,
+    completion,
+    langid,
+    lines,
+    merkle,
+    mixing,
+    packing,
+    periodic,
+    quality,
+    simhash,
+    tools,
+    warc,
+    whitening,
+)
 from cartpulse.llm.tables import read
 
 WORD_BPE = "word_bpe_49k.json"
@@ -57,10 +72,43 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.planted_runs(read(spark, sf_dir, "documents"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adaptjoin.jaccard_components(read(spark, sf_dir, "documents"))
+
+
+FOUND = [
+    op1_warc_salvage,
+    op2_packed_matrices,
+    op3_best_fit_packing,
+    op4_source_mixing,
+    op5_simhash_near_dedup,
+    op6_line_dedup,
+    op7_document_fingerprints,
+    op8_quality_rules,
+    op9_tool_call_linking,
+    op10_language_id,
+    op11_periodic_runs,
+    op12_embedding_whitening,
+    op13_jaccard_join,
+]
+
+
 def queries() -> dict[str, RunQuery]:
-    found = [op1_warc_salvage, op2_packed_matrices, op3_best_fit_packing, op4_source_mixing, op5_simhash_near_dedup, op6_line_dedup, op7_document_fingerprints, op8_quality_rules, op9_tool_call_linking, op10_language_id]
-    return {query.__name__: query for query in found} | {"pipeline": corpus_pipeline.run}
+    return {query.__name__: query for query in FOUND} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc_salvage": warc.WARC_SQL, "op6_line_dedup": lines.LINE_SQL, "op9_tool_call_linking": tools.TOOLS_SQL}
+    return {
+        "op1_warc_salvage": warc.WARC_SQL,
+        "op6_line_dedup": lines.LINE_SQL,
+        "op9_tool_call_linking": tools.TOOLS_SQL,
+        "op13_jaccard_join": adaptjoin.JACCARD_SQL,
+    }
