@@ -14,8 +14,11 @@ Input rows carry ``n_items`` (how many order items the row stands for),
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass, field
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +26,9 @@ from pyspark.sql import functions as F
 # Money is summed in 1/10000 of the currency unit, durations in seconds.
 MONEY_UNITS = 10_000
 DAY_SECONDS = 86_400
+# On rows that are added to or taken from kept sums: 1 or -1.
+SIGN = "_sign"
+ROWS = "_rows"
 
 
 @dataclass(frozen=True)
@@ -192,36 +198,167 @@ def roll_up(
     dropped per step, so the distinct counts are plain counts and no row is
     multiplied, however many distinct counts are asked for. NULL counts as a
     value, as the filled-in sentinel does.
+
+    Within ``kept_by`` the keeper answers instead.
     """
+    keeper = _KEEPER.get()
+    if keeper is not None:
+        return keeper.rolled(df, keys, measures, through)
+    plain, _ = _parts(measures)
+    aggregates = [_AGGREGATES[kind](expr).alias(name) for name, (kind, expr) in plain.items()]
+    if through and not aggregates:
+        aggregates = [F.count(F.lit(1)).alias(ROWS)]
+    return _evaluated(df.groupBy(*keys, *through).agg(*aggregates), keys, measures, through)
+
+
+def _parts(
+    measures: Mapping[str, Measure],
+) -> tuple[dict[str, tuple[str, Column]], dict[str, Column]]:
+    """(additive parts, conditions on the last but one level) of all measures."""
     parts: dict[str, tuple[str, Column]] = {}
     for measure in measures.values():
         parts.update(measure.parts)
-    level_parts = {name: expr for name, (kind, expr) in parts.items() if kind == "level"}
-    plain = {name: part for name, part in parts.items() if part[0] != "level"}
+    level = {name: expr for name, (kind, expr) in parts.items() if kind == "level"}
+    return {name: part for name, part in parts.items() if part[0] != "level"}, level
+
+
+def _evaluated(
+    grouped: DataFrame,
+    keys: Sequence[str],
+    measures: Mapping[str, Measure],
+    through: Sequence[str],
+) -> DataFrame:
+    """From parts per (keys, through) to the measures per keys."""
+    plain, level = _parts(measures)
 
     def combine(kind: str, name: str) -> Column:
         return _AGGREGATES[kind](F.col(name)).alias(name)
 
-    if not through:
-        grouped = df.groupBy(*keys).agg(
-            *[_AGGREGATES[kind](expr).alias(name) for name, (kind, expr) in plain.items()]
-        )
-    else:
-        grouped = df.groupBy(*keys, *through).agg(
-            *([_AGGREGATES[kind](expr).alias(name) for name, (kind, expr) in plain.items()]
-              or [F.count(F.lit(1)).alias("_rows")])
-        )
-        counted: list[str] = []
-        for depth in range(len(through) - 1, -1, -1):
-            dropped = through[depth]
-            step = [combine(kind, name) for name, (kind, _) in plain.items()]
-            step += [F.sum(name).alias(name) for name in counted]
-            step.append(F.count(F.lit(1)).alias(f"distinct_{dropped}"))
-            if depth == 0:
-                step += [
-                    F.sum(F.when(expr, 1).otherwise(0)).cast("long").alias(name)
-                    for name, expr in level_parts.items()
-                ]
-            grouped = grouped.groupBy(*keys, *through[:depth]).agg(*step)
-            counted.append(f"distinct_{dropped}")
+    counted: list[str] = []
+    for depth in range(len(through) - 1, -1, -1):
+        dropped = through[depth]
+        step = [combine(kind, name) for name, (kind, _) in plain.items()]
+        step += [F.sum(name).alias(name) for name in counted]
+        step.append(F.count(F.lit(1)).alias(f"distinct_{dropped}"))
+        if depth == 0:
+            step += [
+                F.sum(F.when(expr, 1).otherwise(0)).cast("long").alias(name)
+                for name, expr in level.items()
+            ]
+        grouped = grouped.groupBy(*keys, *through[:depth]).agg(*step)
+        counted.append(f"distinct_{dropped}")
     return grouped.select(*keys, *[m.final().alias(name) for name, m in measures.items()])
+
+
+# ------------------------------------------------------------------ kept sums
+
+
+class Keeper(Protocol):
+    """Stands in for roll-ups and sums while it is in force."""
+
+    def rolled(
+        self,
+        df: DataFrame,
+        keys: Sequence[str],
+        measures: Mapping[str, Measure],
+        through: Sequence[str],
+    ) -> DataFrame:
+        """The result of ``roll_up``."""
+
+    def summed(self, counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """The result of ``kept_sums``."""
+
+
+_KEEPER: ContextVar[Keeper | None] = ContextVar("keeper", default=None)
+
+
+@contextmanager
+def kept_by(keeper: Keeper) -> Iterator[None]:
+    token = _KEEPER.set(keeper)
+    try:
+        yield
+    finally:
+        _KEEPER.reset(token)
+
+
+def kept_sums(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Sums per ``keys``: as they are, or with those of other days where they are kept."""
+    keeper = _KEEPER.get()
+    return counts if keeper is None else keeper.summed(counts, keys)
+
+
+def signed(column: str, df: DataFrame) -> Column:
+    """A weight, less than 0 on a row that is taken back."""
+    return F.col(column) * F.col(SIGN) if SIGN in df.columns else F.col(column)
+
+
+def _extremes(plain: Mapping[str, tuple[str, Column]]) -> dict[str, tuple[str, str, Column]]:
+    """Part -> (aggregate, column its values are kept in, expression); a column once for both ends."""
+    return {
+        name: (kind, f"_of_{name.split('_', 1)[1]}", expr)
+        for name, (kind, expr) in plain.items()
+        if kind != "sum"
+    }
+
+
+def partial_sums(
+    df: DataFrame,
+    keys: Sequence[str],
+    measures: Mapping[str, Measure],
+    through: Sequence[str] = (),
+) -> DataFrame:
+    """What rows with a ``SIGN`` add to the sums of ``roll_up``, per key and value of ``through``.
+
+    All of it can be added up and taken back: a distinct count keeps its values with the
+    rows that have them, a minimum or maximum likewise. What adds nothing is left out.
+    """
+    plain, _ = _parts(measures)
+    values = {column: expr for _, column, expr in _extremes(plain).values()}
+    sums = {name: expr for name, (kind, expr) in plain.items() if kind == "sum"}
+    sign = F.col(SIGN)
+    grouped = df.groupBy(*keys, *through, *[e.alias(name) for name, e in values.items()]).agg(
+        F.sum(sign).alias(ROWS), *[F.sum(e * sign).alias(name) for name, e in sums.items()]
+    )
+    return _that_add(grouped, [ROWS, *sums])
+
+
+def _that_add(sums: DataFrame, names: Sequence[str]) -> DataFrame:
+    adds = F.lit(False)
+    for name in names:
+        adds = adds | (F.coalesce(F.col(name), F.lit(0)) != 0)
+    return sums.filter(adds)
+
+
+def merged_sums(sums: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Sums of several days as those of one."""
+    names = [name for name in sums.columns if name not in keys]
+    return _that_add(
+        sums.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in names]), names
+    )
+
+
+def state_keys(
+    keys: Sequence[str], measures: Mapping[str, Measure], through: Sequence[str] = ()
+) -> list[str]:
+    """The columns of ``partial_sums`` that are no sums."""
+    plain, _ = _parts(measures)
+    return [*dict.fromkeys([*keys, *through, *[c for _, c, _ in _extremes(plain).values()]])]
+
+
+def from_partial_sums(
+    sums: DataFrame,
+    keys: Sequence[str],
+    measures: Mapping[str, Measure],
+    through: Sequence[str] = (),
+) -> DataFrame:
+    """The roll-up of all rows whose ``partial_sums`` are given, of any number of days."""
+    plain, _ = _parts(measures)
+    extremes = _extremes(plain)
+    names = [name for name, (kind, _) in plain.items() if kind == "sum"]
+    present = merged_sums(sums, state_keys(keys, measures, through)).filter(F.col(ROWS) > 0)
+    grouped = present.groupBy(*keys, *through).agg(
+        F.sum(ROWS).alias(ROWS),
+        *[F.sum(name).alias(name) for name in names],
+        *[_AGGREGATES[kind](column).alias(name) for name, (kind, column, _) in extremes.items()],
+    )
+    return _evaluated(grouped, keys, measures, through)

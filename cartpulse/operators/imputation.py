@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartpulse.functions import measures as M
 from cartpulse.functions.labels import MISSING
 from cartpulse.functions.times import as_text
 
@@ -71,10 +72,11 @@ def audit(
 ) -> DataFrame:
     """NULL and sentinel counts of every column, from one pass over the rows."""
     absent = {
-        name: F.count_if(F.col(name).isNull() | (F.col(name).cast("string") == MISSING))
+        name: M.hits(F.col(name).isNull() | (F.col(name).cast("string") == MISSING), name)
         for name in columns
     }
-    counts = raw.agg(F.count("*").alias("total_rows"), *[e.alias(n) for n, e in absent.items()])
+    rows = raw.withColumn("n_items", F.lit(1).cast("long"))
+    counts = M.roll_up(rows, [], {"total_rows": M.items(), **absent})
     day = F.current_date() if ingested_date is None else F.lit(ingested_date)
     return counts.unpivot("total_rows", list(columns), "column_name", "missing_count").select(
         day.cast("string").alias("ingested_date"),

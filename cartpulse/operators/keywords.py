@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartpulse.functions import measures as M
 from cartpulse.functions import text as T
 from cartpulse.functions.labels import MISSING, review_bucket
 
@@ -45,7 +46,7 @@ def frequent_words(texts: DataFrame, max_score: int = 2, top: int = 20) -> DataF
         .groupBy("word")
         .agg(F.sum("n_items").alias("frequency"))
     )
-    return _most_frequent(counted, top)
+    return _most_frequent(M.kept_sums(counted, ["word"]), top)
 
 
 def squeezed_word_counts(reviews: DataFrame, score: int = 1, top: int = 20) -> DataFrame:
@@ -96,6 +97,9 @@ def term_counts(corpus: DataFrame) -> DataFrame:
     text itself), told apart by their position in the outer array. The NULL
     word's row holds the corpus size, so a single shuffle by word yields all
     statistics.
+
+    All statistics are sums of weights, so those of several days add up, and a text
+    with a negative weight is taken back. A text whose weights cancel is not tokenised.
     """
 
     def weigh(condition: Column, name: str) -> Column:
@@ -105,6 +109,7 @@ def term_counts(corpus: DataFrame) -> DataFrame:
     folded = corpus.groupBy("text").agg(
         *[weigh(F.col("review_bucket") == bucket, bucket) for bucket in BUCKETS]
     )
+    folded = folded.filter(" or ".join(f"{bucket} != 0" for bucket in BUCKETS))
     tokenised = T.add_keyword_tokens(folded, "text", "tokens").withColumn(
         "weight", F.col(BUCKETS[0]) + F.col(BUCKETS[1]) + F.col(BUCKETS[2])
     )
@@ -121,12 +126,13 @@ def term_counts(corpus: DataFrame) -> DataFrame:
         counted = F.when(stream == 0, F.col(bucket)).otherwise(F.lit(0).cast("long"))
         return F.sum(counted).alias(f"freq_{bucket}")
 
-    return emitted.groupBy("word").agg(
+    counts = emitted.groupBy("word").agg(
         *[in_bucket(bucket) for bucket in BUCKETS],
         weigh(stream == 1, "doc_freq"),
         weigh((stream == 2) & (F.col("length") > 0), "corpus_size"),
         weigh(stream == 2, "text_count"),
     )
+    return M.kept_sums(counts, ["word"])
 
 
 def keyword_scores(corpus: DataFrame, require_min_docs: bool = False) -> DataFrame:

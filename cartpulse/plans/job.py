@@ -26,15 +26,18 @@ def run(
     run_date: str | None = None,
     buckets: int | None = None,
     with_models: bool = True,
+    batch_time: str | None = None,
 ) -> StoredMart:
     """Write every table and return the mart that reads them.
 
     The joins run once, for the snapshot. Everything after it reads stored rows,
     so a lost executor costs the tasks at hand and never the joins. A run that is
-    repeated with the same date replaces its own snapshot and all tables but the
-    trend, which is appended to.
+    repeated with the same date replaces its own snapshot and all tables. The trend
+    keeps the rows of other runs: a run is told by its date and ``batch_time`` (the
+    scheduled time; the start of the day unless given), and replaces only its own.
     """
     day = run_date or dt.date.today().isoformat()
+    at = dt.datetime.fromisoformat(batch_time or day).isoformat(" ", "seconds")
     snapshots.write_snapshot(item_fact(inputs, ingested_date=day), snapshot_base, day, buckets)
     raw = snapshots.read_latest_snapshot(spark, snapshot_base)
 
@@ -49,7 +52,7 @@ def run(
             continue
         rows = BUILDERS[name](mart)
         if name == TREND:
-            warehouse.append(rows, full_name, partition_by="ingested_date")
+            warehouse.replace_part(rows, full_name, ingested_date=day, batch_time=at)
         else:
             warehouse.overwrite(rows, full_name)
     return mart

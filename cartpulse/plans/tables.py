@@ -163,11 +163,10 @@ def loyalty_rfm(mart: Mart, once_per_order: bool = False) -> DataFrame:
     orders = mart.orders(
         "customer_unique_id", "order_purchase_timestamp", "payment_value", "review_score"
     )
-    newest = (
-        mart.orders("order_purchase_timestamp")
-        .agg(F.max(F.to_date("order_purchase_timestamp")).alias("newest"))
-        .scalar()
+    dated = mart.orders("order_purchase_timestamp").withColumn(
+        "purchase_date", F.to_date("order_purchase_timestamp")
     )
+    newest = M.roll_up(dated, [], {"newest": M.greatest("purchase_date")}).scalar()
     customers = M.roll_up(
         orders,
         ["customer_unique_id"],
@@ -361,7 +360,8 @@ def review_texts(mart: Mart, keep_sentinel: bool = False) -> DataFrame:
     orders = mart.orders("review_score", "review_comment_message").filter(_score().isNotNull())
     if not keep_sentinel:
         orders = orders.filter(F.col("review_comment_message") != L.MISSING)
-    return orders.select("order_id", "review_score", "review_comment_message", "n_items")
+    weight = M.signed("n_items", orders).alias("n_items")
+    return orders.select("order_id", "review_score", "review_comment_message", weight)
 
 
 def top_bad_review_words(

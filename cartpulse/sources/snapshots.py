@@ -1,4 +1,4 @@
-"""Parquet snapshots of the fact: one folder per run, the newest one is current."""
+"""Parquet snapshots of the fact: a folder per run, a commit record once it is whole."""
 
 from __future__ import annotations
 
@@ -6,27 +6,30 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartpulse.sources import commits
+
 SNAPSHOT = "snapshot"
 
 
 def write_snapshot(fact: DataFrame, base: str, snapshot: str, files: int | None = None) -> None:
-    """Write one snapshot; a repeated run replaces its own folder only.
+    """Write one snapshot; a repeated run takes the place of its own snapshot only.
 
     The rows are clustered by order, so per-order work on the snapshot finds the
-    items of an order in one file.
+    items of an order in one file. Until the record is written readers keep to what
+    was there before; the files of a run that was replaced stay.
     """
     rows = fact.repartition("order_id") if files is None else fact.repartition(files, "order_id")
-    target = f"{base}/{SNAPSHOT}={snapshot}"
-    rows.sortWithinPartitions("order_id", "order_item_id").write.mode("overwrite").parquet(target)
+    folder = commits.new_folder(f"{SNAPSHOT}={snapshot}")
+    rows.sortWithinPartitions("order_id", "order_item_id").write.parquet(f"{base}/{folder}")
+    commits.commit(fact.sparkSession, base, snapshot, folder)
 
 
 def read_latest_snapshot(spark: SparkSession, base: str) -> DataFrame:
-    """The snapshot with the greatest name; other folders are pruned."""
-    every = _open(spark.read.option("inferTimestamp", False), base)
-    newest = every.agg(F.max(SNAPSHOT).alias("s")).first()["s"]
-    if newest is None:
+    """The committed snapshot with the greatest name; its folder is the only one opened."""
+    folders = commits.committed(spark, base)
+    if not folders:
         raise FileNotFoundError(f"no snapshot in {base}")
-    return every.filter(F.col(SNAPSHOT) == newest).drop(SNAPSHOT)
+    return spark.read.parquet(f"{base}/{folders[max(folders)]}")
 
 
 def read_newest_file(spark: SparkSession, folder: str) -> DataFrame:

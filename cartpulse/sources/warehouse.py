@@ -1,7 +1,9 @@
-"""Writing warehouse tables: contract cast, overwrite, append."""
+"""Writing warehouse tables: contract cast, overwrite, append, parts that a repeated run replaces."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,6 +65,30 @@ def append(df: DataFrame, table: str, partition_by: str | None = None) -> None:
     (writer.partitionBy(partition_by) if partition_by else writer).saveAsTable(table)
 
 
+def replace_part(df: DataFrame, table: str, **part: str) -> None:
+    """Append the rows of one run; a run that is repeated replaces its own, also by none.
+
+    ``part`` names the run by values of columns of the contract: the table is partitioned by
+    them, in that order, and the rows get these values. Runs that share the first of
+    them are told apart by the next.
+    """
+    spark, contract = df.sparkSession, TABLES[table]
+    kinds = {f.name: f.dataType.simpleString() for f in contract}
+    rest = [f.name for f in contract if f.name not in part]
+    valued = {name: F.lit(value).cast(kinds[name]) for name, value in part.items()}
+    rows = conform(df.withColumns(valued), table).select(*rest, *part)
+    if not spark.catalog.tableExists(table):
+        rows.limit(0).write.format("parquet").partitionBy(*part).saveAsTable(table)
+    source = f"part_{uuid.uuid4().hex}"
+    rows.drop(*part).createOrReplaceTempView(source)
+    typed = {name: "TIMESTAMP " if kinds[name] == "timestamp" else "" for name in part}
+    values = ", ".join(f"{name} = {typed[name]}'{value}'" for name, value in part.items())
+    try:
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({values}) SELECT * FROM {source}")
+    finally:
+        spark.catalog.dropTempView(source)
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:
     """Send a table to a database, in batches; the rows are replaced."""
     df.write.mode("overwrite").option("truncate", True).option("batchsize", BATCH_ROWS).jdbc(

@@ -91,6 +91,31 @@ def test_trend_stream_appends_per_batch_and_repeats_safely(spark, tmp_path, fram
     assert {"batch_time", "ingested_date"} <= set(found.columns)
 
 
+def test_an_order_counts_once_over_batches_and_restarts(spark, tmp_path, frame):
+    """Three batches with shared orders, each worked off by a stream that starts anew."""
+    source, target, state = (str(tmp_path / name) for name in ("in", "out", "state"))
+    schema = "order_id string, product_category_name_english string, price double, freight_value double, review_score int"
+    batches = [
+        [("o1", "home", 1.0, 0.0, 5), ("o1", "toys", 2.0, 0.0, 5), ("o2", "home", 4.0, 0.0, None)],
+        [("o1", "home", 8.0, 0.0, 5), ("o3", "home", 16.0, 0.0, 1), ("o1", None, 1.5, 0.0, 5)],
+        [("o1", "home", 32.0, 0.0, 5), ("o3", "toys", 64.0, 0.0, 2), ("o1", None, 1.5, 0.0, None), (None, "toys", 0.1, 0.0, 4)],
+    ]
+    for rows in batches:
+        frame(schema, rows).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        trend.start_trend(stream, target, state, once=True).awaitTermination()
+    found = trend.read_trend(spark, target)
+    assert rows_of(found.filter("batch_id = 1"), trend.CATEGORY, "total_orders") == [("home", 1), (None, 1)]
+    everything = frame(schema, [row for rows in batches for row in rows])
+    batch = everything.groupBy(trend.CATEGORY).agg(
+        F.size(F.collect_set(F.coalesce("order_id", F.lit("none")))).alias("total_orders"),
+        F.round(F.sum("price"), 4).alias("total_revenue"),
+        F.avg("review_score").alias("avg_review_score"),
+    )
+    columns = (trend.CATEGORY, "total_orders", "total_revenue", "avg_review_score")
+    assert rows_of(trend.trend_totals(found), *columns) == rows_of(batch, *columns)
+
+
 def test_whole_run(spark, tmp_path, live, monkeypatch):
     """All 27 tables are written, and the dashboards read the same from them."""
     small = models.review_forest().setNumTrees(3).setMaxDepth(3)
@@ -113,6 +138,14 @@ def test_whole_run(spark, tmp_path, live, monkeypatch):
         assert rows_of(rows, *columns) == rows_of(dashboards.QUERIES[name](live), *columns), name
 
     assert dashboards.QUERIES["q5_2"](stored).first().total_batch_days == 1
+    history = spark.table("orders_db.history_category_trend")
+    once = history.count()
+    job.run(spark, inputs, str(tmp_path), catalogue.RUN_DATE, buckets=4, with_models=False)
+    assert spark.table("orders_db.history_category_trend").count() == once > 0
+    later = f"{catalogue.RUN_DATE} 00:05:00"
+    job.run(spark, inputs, str(tmp_path), catalogue.RUN_DATE, buckets=4, with_models=False, batch_time=later)
+    history = spark.table("orders_db.history_category_trend")
+    assert history.count() == 2 * once and history.select("batch_time").distinct().count() == 2
     job.run(spark, inputs, str(tmp_path), "2024-02-01", buckets=4, with_models=False)
     again = dashboards.QUERIES["q5_2"](StoredMart(spark)).first()
     assert (again.total_batch_days, again.last_ingest_date) == (2, "2024-02-01")

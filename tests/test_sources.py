@@ -103,6 +103,16 @@ def test_latest_snapshot(spark, tmp_path, frame):
     snapshots.write_snapshot(newer, base, "2018-01-02")
     assert rows_of(snapshots.read_latest_snapshot(spark, base)) == [("o1", 1, 2.0)]
 
+    # files without a record are those of a run that was not finished
+    unfinished = f"{base}/snapshot=2018-01-03/run=0"
+    rows.write.parquet(unfinished)
+    read = snapshots.read_latest_snapshot(spark, base)
+    assert rows_of(read) == [("o1", 1, 2.0)]
+    assert len({path.rsplit("/", 1)[0] for path in read.inputFiles()}) == 1
+    assert f"Location: InMemoryFileIndex(1 paths)[{read.inputFiles()[0].split(':')[0]}:" in read._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    )
+
 
 def test_newest_file(spark, tmp_path, frame):
     folder = str(tmp_path / "lake")
