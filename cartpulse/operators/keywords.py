@@ -7,7 +7,7 @@ not tokenised once per item.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartpulse.functions import measures as M
@@ -22,6 +22,7 @@ MIN_DOCUMENTS = 10
 SMOOTHING = 0.5
 KEYWORDS_PER_BUCKET = 30
 MIN_CORPUS = 100
+RULES_TO_SEND = 100_000
 
 # Complaint words and the cause each one points to.
 COMPLAINT_CAUSES = {
@@ -203,21 +204,43 @@ def top_keywords(
     )
 
 
-def complaint_causes(corpus: DataFrame) -> DataFrame:
-    """How many texts point to each cause; one pass, no shuffle but the totals."""
-    tokenised = T.add_keyword_tokens(corpus, "text", "tokens")
+def complaint_rules(spark: SparkSession) -> DataFrame:
+    """The stated rules as rows (cause, word)."""
+    rows = [(cause, word) for cause, words in COMPLAINT_CAUSES.items() for word in words]
+    return spark.createDataFrame(rows, "cause string, word string")
 
-    def pointing(words: tuple[str, ...]) -> Column:
-        return F.sum(
-            F.when(
-                F.arrays_overlap("tokens", F.array(*[F.lit(w) for w in words])), F.col("weight")
-            ).otherwise(F.lit(0).cast("long"))
-        )
 
-    counts = tokenised.agg(
-        *[
-            F.coalesce(pointing(words), F.lit(0)).alias(cause)
-            for cause, words in COMPLAINT_CAUSES.items()
-        ]
+def complaint_causes(
+    corpus: DataFrame, rules: DataFrame | None = None, most_sent: int = RULES_TO_SEND
+) -> DataFrame:
+    """How many texts point to each cause by one word at least.
+
+    ``rules`` has a row (cause, word) per word; up to ``most_sent`` of them are sent to the
+    tokens, more meet them in a shuffle. Either way only tokens with a rule go on. A text
+    is known by its digest: all words that it has for a cause carry the same weight, so
+    the greatest of their sums is the weight of the texts.
+    """
+    given = complaint_rules(corpus.sparkSession) if rules is None else rules
+    pointing = given.filter(F.col("word").isNotNull()).select("cause", "word").distinct()
+    if pointing.count() <= most_sent:
+        pointing = F.broadcast(pointing)
+    else:
+        pointing = pointing.hint("merge")
+    tokens = T.add_keyword_tokens(corpus, "text", "tokens").select(
+        F.md5(F.col("text").cast("binary")).alias("digest"),
+        "weight",
+        F.explode(F.array_distinct("tokens")).alias("word"),
+    )
+    by_word = (
+        tokens.join(pointing, "word")
+        .groupBy("digest", "cause", "word")
+        .agg(F.sum("weight").alias("weight"))
+    )
+    by_text = by_word.groupBy("digest", "cause").agg(F.max("weight").alias("weight"))
+    counted = by_text.groupBy("cause").agg(F.sum("weight").alias("review_items"))
+    return (
+        given.select("cause")
+        .distinct()
+        .join(counted, "cause", "left")
+        .select("cause", F.coalesce("review_items", F.lit(0)).alias("review_items"))
     )
-    return counts.unpivot([], list(COMPLAINT_CAUSES), "cause", "review_items")

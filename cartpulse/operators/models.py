@@ -1,19 +1,22 @@
-"""MLlib jobs: customer clusters and review-score forests."""
+"""Customer clusters, and review-score forests by MLlib."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
+
+from cartpulse.operators import clusters
 
 SEED = 42
 CLUSTERS = 4
@@ -47,38 +50,16 @@ def kept(df: DataFrame) -> Iterator[DataFrame]:
 # ------------------------------------------------------------------ clusters
 
 
-def _rfm_vectors(customers: DataFrame) -> DataFrame:
-    return customers.na.fill({"recency_days": 0, "frequency": 0, "monetary": 0.0})
-
-
-def _scaling() -> Pipeline:
-    return Pipeline(
-        stages=[
-            VectorAssembler(inputCols=list(RFM), outputCol="rfm"),
-            StandardScaler(inputCol="rfm", outputCol="scaled", withMean=True, withStd=True),
-        ]
-    )
-
-
-def fit_clusters(customers: DataFrame, k: int = CLUSTERS, seed: int = SEED) -> PipelineModel:
-    steps = [*_scaling().getStages(), KMeans(featuresCol="scaled", k=k, seed=seed)]
-    with kept(_rfm_vectors(customers).select(*RFM)) as rows:
-        return Pipeline(stages=steps).fit(rows)
-
-
-def with_clusters(customers: DataFrame, k: int = CLUSTERS, seed: int = SEED) -> DataFrame:
-    """Customers with a ``kmeans_cluster`` label."""
-    model = fit_clusters(customers, k, seed)
-    return (
-        model.transform(_rfm_vectors(customers))
-        .withColumn("kmeans_cluster", F.concat(F.lit("Cluster "), F.col("prediction")))
-        .drop("rfm", "scaled", "prediction")
-    )
+def with_clusters(customers: DataFrame, k: int = CLUSTERS) -> DataFrame:
+    """Customers with a ``kmeans_cluster`` label; equal customers get equal ones in any run."""
+    found = clusters.fit(customers, RFM, [k], kept)[k]
+    label = F.concat(F.lit("Cluster "), found.label().cast("string"))
+    return customers.na.fill(dict.fromkeys(RFM, 0)).withColumn("kmeans_cluster", label)
 
 
-def cluster_profile(customers: DataFrame, k: int = CLUSTERS, seed: int = SEED) -> DataFrame:
+def cluster_profile(customers: DataFrame, k: int = CLUSTERS) -> DataFrame:
     return (
-        with_clusters(customers, k, seed)
+        with_clusters(customers, k)
         .groupBy("kmeans_cluster")
         .agg(
             F.avg("recency_days").alias("avg_recency"),
@@ -89,24 +70,11 @@ def cluster_profile(customers: DataFrame, k: int = CLUSTERS, seed: int = SEED) -
     )
 
 
-def elbow(customers: DataFrame, largest_k: int = 8, seed: int = SEED) -> DataFrame:
-    """Within-cluster sum of squares for k = 1 .. ``largest_k``.
-
-    MLlib rejects k = 1; there the cost is the squared distance from the mean.
-    """
-    spark = customers.sparkSession
-    rows = _rfm_vectors(customers).select(*RFM)
-    with kept(_scaling().fit(rows).transform(rows).select("scaled")) as scaled:
-        from pyspark.ml.functions import vector_to_array
-
-        values = scaled.select(vector_to_array("scaled").alias("v"))
-        # the scaled columns have mean 0
-        spread = sum(F.sum(F.pow(F.get("v", F.lit(i)), 2)) for i in range(len(RFM)))
-        costs = [(1, float(values.agg(spread.alias("s")).first()["s"]))]
-        for k in range(2, largest_k + 1):
-            model = KMeans(featuresCol="scaled", k=k, seed=seed).fit(scaled)
-            costs.append((k, float(model.summary.trainingCost)))
-    return spark.createDataFrame(costs, "k int, sse double")
+def elbow(customers: DataFrame, largest_k: int = 8) -> DataFrame:
+    """Within-cluster sum of squares for k = 1 .. ``largest_k``, all from the same passes."""
+    found = clusters.fit(customers, RFM, range(1, largest_k + 1), kept)
+    costs = [(k, one.cost) for k, one in sorted(found.items())]
+    return customers.sparkSession.createDataFrame(costs, "k int, sse double")
 
 
 # ------------------------------------------------------------------ forests
@@ -156,33 +124,56 @@ def fit_review_forest(
         return review_forest().fit(rows)
 
 
+@dataclass(frozen=True)
+class CrossValidated:
+    """A forest fitted on all rows, and R squared on each fold of one that has not seen it."""
+
+    model: RandomForestRegressionModel
+    r2: list[float]
+
+    def mean(self) -> float:
+        return float(np.mean(self.r2))
+
+    def deviation(self) -> float:
+        return float(np.std(self.r2))
+
+
 def cross_validate(
     training: DataFrame, folds: int = 5, max_labelled: int = MAX_LABELLED
-) -> CrossValidatorModel:
-    """k-fold R squared of the review forest; its best model is fitted on all rows.
+) -> CrossValidated:
+    """k-fold R squared of the review forest, and the forest of all rows.
 
-    The fold of a row follows from its values and so survives recomputation.
+    The fold of a row follows from its values and so survives recomputation. All fits run
+    at a time over one set of kept rows, so that the tasks of one fill the gaps between
+    the jobs of another.
     """
-    validator = CrossValidator(
-        estimator=review_forest(),
-        estimatorParamMaps=ParamGridBuilder().build(),
-        evaluator=RegressionEvaluator(labelCol="review_score", metricName="r2"),
-        numFolds=folds,
-        foldCol="fold",
-        seed=SEED,
-    )
     # items of an order share its score and so its fold
     key = F.col("order_id") if "order_id" in training.columns else F.col("features").cast("string")
     fold = F.pmod(F.xxhash64(key), F.lit(folds)).cast("int")
     bounded = labelled_sample(training, max_labelled)
+    measure = RegressionEvaluator(labelCol="review_score", metricName="r2")
     with kept(bounded.select("features", "review_score", fold.alias("fold"))) as rows:
-        return validator.fit(rows)
+        rows.count()
+
+        def fitted(held_out: int | None) -> RandomForestRegressionModel | float:
+            if held_out is None:
+                return review_forest().fit(rows)
+            model = review_forest().fit(rows.filter(F.col("fold") != held_out))
+            return measure.evaluate(model.transform(rows.filter(F.col("fold") == held_out)))
+
+        with ThreadPoolExecutor(folds + 1) as pool:
+            tasks = [
+                pool.submit(inheritable_thread_target(training.sparkSession)(fitted), one)
+                for one in (None, *range(folds))
+            ]
+            model, *r2 = [task.result() for task in tasks]
+    return CrossValidated(model, [float(one) for one in r2])
 
 
 def cross_validated_fit(training: DataFrame, folds: int = 5) -> DataFrame:
     """Mean and standard deviation of R squared over the folds."""
-    fitted = cross_validate(training, folds)
-    row = (folds, float(fitted.avgMetrics[0]), float(fitted.stdMetrics[0]))
+    found = cross_validate(training, folds)
+    row = (folds, found.mean(), found.deviation())
     return training.sparkSession.createDataFrame([row], "folds int, r2_mean double, r2_std double")
 
 

@@ -42,6 +42,11 @@ DELAY_FLOOR, CLIPPED_DELAY_FLOOR, DURATION_FLOOR = -146.0, -30.0, 1.0
 LATE_UPLIFT, FREIGHT_UPLIFT = 1.708, 0.1
 LOWEST_SCORE, HIGHEST_SCORE = 1.0, 5.0
 ORDERS_PER_POINT = 0.05
+# Of a Poisson number with mean 1, in 65536ths: the chance of at most 0, 1, 2 ...
+POISSON_BOUNDS = [
+    int(65_536 * sum(math.exp(-1) / math.factorial(i) for i in range(n + 1))) for n in range(8)
+]
+DRAWS = 8  # 16-bit numbers in an MD5
 Z_95 = 1.96
 
 # Predictors of the review forest, with their labels.
@@ -398,35 +403,54 @@ def summarise(scored: DataFrame, model_type: str) -> DataFrame:
     )
 
 
+def _drawn(rows: Column, drawn: list[Column]) -> Column:
+    """How often a bin of so many rows is drawn: a whole number, Poisson with that mean.
+
+    Up to ``len(drawn)`` rows are drawn one by one, each from a 16-bit number; the number
+    of more rows is taken as normal, from the sum of all of them.
+    """
+    each = [
+        sum((F.when(u >= bound, 1).otherwise(0) for bound in POISSON_BOUNDS), F.lit(0))
+        for u in drawn
+    ]
+    one_by_one = sum(
+        (F.when(rows > i, times).otherwise(0) for i, times in enumerate(each)), F.lit(0)
+    )
+    spread = sum(drawn[1:], drawn[0]) - len(drawn) * 65_535 / 2
+    deviation = 65_536 * math.sqrt(len(drawn) / 12)
+    normal = F.floor(rows + F.sqrt(rows.cast("double")) * (spread / deviation) + 0.5)
+    return F.when(rows <= len(drawn), one_by_one).otherwise(F.greatest(normal, F.lit(0)))
+
+
 def bootstrap_interval(
-    scored: DataFrame, replicates: int = 500, digits: int = 3, seed: int = models.SEED
+    scored: DataFrame, replicates: int = 500, seed: int = models.SEED
 ) -> DataFrame:
-    """95 % percentile interval of the mean score by a seeded Bayesian bootstrap.
+    """95 % percentile interval of the mean score by a seeded Poisson bootstrap.
 
-    Works on the histogram of the scores, in steps of ``digits`` decimals as they are
-    reported, not on the rows. Each row weighs Exp(1), so a bin of n rows weighs
-    Gamma(n), drawn for every n by the Wilson-Hilferty formula.
+    Works on the histogram of the scores in thousandths, as they are reported, not on the
+    rows. Draws come from the MD5 of seed, scenario, score and replicate, so any
+    engine draws the same ones.
     """
-    histogram = scored.groupBy("scenario_id", F.round("predicted", digits).alias("score")).agg(
-        F.count("*").cast("double").alias("rows")
-    )
-    rows = F.col("rows")
-    normal = F.sqrt(F.log("uniform") * -2) * F.cos("angle")
-    root = F.lit(1.0) - 1 / (9 * rows) + normal / (3 * F.sqrt(rows))
+    histogram = scored.groupBy(
+        "scenario_id", F.rint(F.col("predicted") * 1000.0).cast("long").alias("score")
+    ).agg(F.count("*").alias("rows"))
+    name = F.concat_ws("-", F.lit(str(seed)), "scenario_id", "score", "replicate")
+    digits = [
+        F.conv(F.substring("digest", 4 * i + 1, 4), 16, 10).cast("long") for i in range(DRAWS)
+    ]
     drawn = (
         histogram.select(
             "*", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("replicate")
         )
-        # random numbers from the values of the row, so that a task that is run
-        # again draws the same ones
-        .withColumn("h1", F.xxhash64(F.lit(seed), "scenario_id", "score", "replicate"))
-        .withColumn("h2", F.xxhash64("h1", F.lit(seed + 1)))
-        .withColumn("uniform", (F.pmod("h1", F.lit(2**52)) + 0.5) / float(2**52))
-        .withColumn("angle", (F.pmod("h2", F.lit(2**52)) + 0.5) / float(2**52) * (2 * math.pi))
-        .withColumn("weight", rows * F.pow(F.greatest(root, F.lit(0.0)), 3))
+        .withColumn("digest", F.md5(name.cast("binary")))
+        .withColumns({f"u{i}": digit for i, digit in enumerate(digits)})
+        .withColumn("times", _drawn(F.col("rows"), [F.col(f"u{i}") for i in range(DRAWS)]))
     )
+    # whole numbers, so the order of the sums does not matter
     means = drawn.groupBy("scenario_id", "replicate").agg(
-        F.try_divide(F.sum(F.col("weight") * F.col("score")), F.sum("weight")).alias("mean")
+        F.try_divide(
+            F.sum(F.col("times") * F.col("score")).cast("double"), F.sum("times") * 1000.0
+        ).alias("mean")
     )
     return means.groupBy("scenario_id").agg(
         F.round(F.percentile("mean", F.lit(0.025)), 4).alias("ci_lower_95"),
@@ -477,9 +501,9 @@ def best_scenario(summary: DataFrame) -> DataFrame:
 def feature_impact(prepared: DataFrame) -> DataFrame:
     """Normalised importances of the review forest with its cross-validated fit."""
     fitted = models.cross_validate(training_rows(prepared))
-    weights = fitted.bestModel.featureImportances.toArray()
+    weights = fitted.model.featureImportances.toArray()
     whole = float(weights.sum()) or 1.0
-    fit = round(float(fitted.avgMetrics[0]), 4)
+    fit = round(fitted.mean(), 4)
     rows = [
         (name, label, round(float(weight) / whole * 100, 2), fit)
         for (name, label), weight in zip(FEATURE_LABELS.items(), weights, strict=True)

@@ -142,8 +142,9 @@ def _simulated(mart: LiveMart) -> DataFrame:
     )
 
 
-def _rule_summary(mart: LiveMart) -> DataFrame:
-    return whatif.rule_summary(_prepared(mart)).drop("description", "solution_recommendation")
+def _rule_summary(mart: LiveMart, bootstrap: bool = False) -> DataFrame:
+    summary = whatif.rule_summary(_prepared(mart), bootstrap)
+    return summary.drop("description", "solution_recommendation")
 
 
 def _best(mart: LiveMart) -> DataFrame:
@@ -211,9 +212,7 @@ OPERATORS: dict[str, RunQuery] = {
     "whatif_predictors": _on_mart(_predictors),
     "whatif_simulated_rows": _on_mart(_simulated),
     "whatif_rule_summary": _on_mart(_rule_summary),
-    "whatif_bootstrap_summary": _on_mart(
-        lambda m: whatif.rule_summary(_prepared(m), bootstrap=True)
-    ),
+    "whatif_bootstrap_summary": _on_mart(lambda m: _rule_summary(m, bootstrap=True)),
     "whatif_best_scenario": _on_mart(_best),
     "whatif_rule_detail": _on_mart(_rule_detail),
     "whatif_forest_detail": _on_mart(_forest_detail),

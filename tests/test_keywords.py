@@ -3,6 +3,8 @@ from __future__ import annotations
 import math
 from collections import Counter
 
+import pytest
+
 from cartpulse.operators import keywords as K
 from tests.conftest import rows_of
 from tests.test_functions import keyword_tokens_by_hand
@@ -116,6 +118,16 @@ def test_complaint_causes(frame):
     }
 
 
+@pytest.mark.parametrize(("most_sent", "kind"), [(10, "BroadcastHashJoin"), (1, "SortMergeJoin")])
+def test_complaint_rules_as_a_table(frame, most_sent, kind):
+    rows = [("a late box", "negative", 2), ("a late box", "negative", 3), ("late again and late", "neutral", 1), ("fine", "positive", 7), (None, "negative", 9)]
+    texts = frame("text string, review_bucket string, weight bigint", rows)
+    rules = frame("cause string, word string", [("Delay", "late"), ("Delay", "again"), ("Delay", "late"), ("Packing", "box"), ("Never", "xyz"), ("Blank", None)])
+    found = K.complaint_causes(texts, rules, most_sent)
+    assert dict(rows_of(found)) == {"Delay": 6, "Packing": 5, "Never": 0, "Blank": 0}
+    assert f"{kind} [word" in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_one_shuffle_for_counts_and_totals(frame):
     scores = K.keyword_scores(corpus(frame, 12))
     scores.collect()

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
-from cartpulse.operators import models, whatif
+from cartpulse.operators import clusters, models, whatif
 from cartpulse.plans import catalogue, dashboards, job, tables
 from cartpulse.plans.mart import StoredMart
 from cartpulse.schemas import TABLES
@@ -30,6 +32,56 @@ def test_clusters_separate_clear_groups(frame):
     assert set().union(*labels) == {f"Cluster {i}" for i in range(4)}
 
 
+def test_labels_follow_from_the_rows(live):
+    """Any order and number of partitions give the same labels and costs; each is the nearest centre's."""
+    customers = tables.loyalty_rfm(live).select("customer_unique_id", *models.RFM)
+    rows = customers.toPandas()
+    spark = customers.sparkSession
+    results = []
+    for n in (1, 7):
+        df = spark.createDataFrame(rows.sample(frac=1, random_state=n)).repartition(n)
+        labels = rows_of(models.with_clusters(df), "customer_unique_id", "kmeans_cluster")
+        results.append((labels, rows_of(models.elbow(df, largest_k=5))))
+    assert results[0] == results[1]
+
+    values = rows[list(models.RFM)].fillna(0).to_numpy(float)
+    scaled = (values - values.mean(axis=0)) / values.std(axis=0, ddof=1)
+    found = clusters.fit(customers, models.RFM, [4], models.kept)[4]
+    centres = np.array(found.centres) / clusters.UNIT
+    apart = ((scaled[:, None, :] - centres[None]) ** 2).sum(axis=2)
+    labels = dict(results[0][0])
+    assert [labels[c] for c in rows.customer_unique_id] == [f"Cluster {i}" for i in apart.argmin(axis=1)]
+    assert found.cost == pytest.approx(apart.min(axis=1).sum(), rel=1e-6)
+    assert dict(results[0][1])[4] == pytest.approx(found.cost, rel=1e-12)
+    # no further pass would lower the cost by much
+    moved = np.array([scaled[apart.argmin(axis=1) == i].mean(axis=0) for i in range(4)])
+    assert ((scaled[:, None, :] - moved[None]) ** 2).sum(axis=2).min(axis=1).sum() >= 0.99 * found.cost
+
+
+def test_clusters_of_few_rows(frame):
+    assert models.with_clusters(frame(CUSTOMERS, [])).collect() == []
+    one = models.with_clusters(frame(CUSTOMERS, [("a", None, 1, None), ("a", None, 1, None)]))
+    assert {row.kmeans_cluster for row in one.collect()} == {"Cluster 0"}
+
+
+def test_folds_at_a_time_equal_folds_in_sequence(live, monkeypatch):
+    small = models.review_forest().setNumTrees(5).setMaxDepth(4)
+    monkeypatch.setattr(models, "review_forest", lambda: small.copy())
+    prepared = whatif.prepare(live.items("order_id", "review_score", *whatif.SOURCES))
+    training = whatif.training_rows(prepared)
+    found = models.cross_validate(training, folds=3, max_labelled=2_000)
+    measure = RegressionEvaluator(labelCol="review_score", metricName="r2")
+    rows = models.labelled_sample(training, 2_000).withColumn(
+        "fold", F.pmod(F.xxhash64("order_id"), F.lit(3)).cast("int")
+    )
+    want = []
+    with models.kept(rows.select("features", "review_score", "fold")) as kept_rows:
+        for fold in range(3):
+            model = small.fit(kept_rows.filter(F.col("fold") != fold))
+            want.append(measure.evaluate(model.transform(kept_rows.filter(F.col("fold") == fold))))
+    assert found.r2 == pytest.approx(want, rel=1e-9) and found.mean() == pytest.approx(np.mean(want))
+
+
 def test_cluster_profile_counts_every_customer(live):
     customers = tables.loyalty_rfm(live)
     profile = models.cluster_profile(customers).collect()

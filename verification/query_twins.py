@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from cartpulse.functions import labels as L
 from verification import twins as t
 from verification.twins import CAT, LATE, NEG, ON_TIME, POS, SCORE, hits, mean, percent, r, ratio
@@ -332,6 +334,37 @@ def _tie(column: str, digits: int) -> str:
     return f"{r(column, digits)} AS {column}"
 
 
+def _bootstrap(replicates: int = 500, seed: int = 42, draws: int = 8) -> str:
+    """The scenario summary with an interval of means drawn by MD5."""
+    bounds = [int(65536 * sum(math.exp(-1) / math.factorial(i) for i in range(n + 1))) for n in range(8)]
+    once = " + ".join(
+        f"CASE WHEN n > {i} THEN {' + '.join(f'(u{i} >= {bound})::BIGINT' for bound in bounds)} ELSE 0 END"
+        for i in range(draws)
+    )
+    spread = f"({' + '.join(f'u{i}' for i in range(draws))} - {draws * 65535 / 2}e0)"
+    normal = f"floor(n + sqrt(CAST(n AS DOUBLE)) * ({spread} / {65536 * math.sqrt(draws / 12)!r}e0) + 0.5e0)"
+    digits = ", ".join(
+        f"CAST('0x' || substr(digest, {4 * i + 1}, 4) AS BIGINT) AS u{i}" for i in range(draws)
+    )
+    return f"""
+SELECT s.* EXCLUDE (ci_lower_95, ci_upper_95), c.ci_lower_95, c.ci_upper_95
+FROM simulation_scenarios s JOIN (
+  SELECT scenario_id, {r('quantile_cont(mean, 0.025)', 4)} AS ci_lower_95, {r('quantile_cont(mean, 0.975)', 4)} AS ci_upper_95
+  FROM (
+    SELECT scenario_id, replicate, CAST(sum(times * score) AS DOUBLE) / (sum(times) * 1000e0) AS mean
+    FROM (
+      SELECT *, CASE WHEN n <= {draws} THEN {once} ELSE CAST(greatest({normal}, 0) AS BIGINT) END AS times
+      FROM (
+        SELECT *, {digits}
+        FROM (
+          SELECT *, md5('{seed}-' || scenario_id || '-' || score || '-' || replicate) AS digest
+          FROM (SELECT scenario_id, CAST(round(predicted * 1000) AS BIGINT) AS score, count(*) AS n
+                FROM rule_scored GROUP BY ALL),
+               (SELECT unnest(generate_series(1, {replicates})) AS replicate))))
+    GROUP BY ALL)
+  GROUP BY ALL) c ON s.scenario_id = c.scenario_id"""
+
+
 def operator_sql() -> dict[str, str]:
     from cartpulse.functions.text import DOMAIN_STOP_WORDS, EXTRA_STOP_WORDS
     from cartpulse.operators.keywords import COMPLAINT_CAUSES
@@ -431,6 +464,7 @@ SELECT order_id, order_item_id, scenario_id, {', '.join(_tie(d, 6) for d in days
        is_likely_slow_approval_sim, {r('predicted', 3)} AS predicted
 FROM rule_scored""",
         "whatif_rule_summary": "SELECT * FROM simulation_scenarios",
+        "whatif_bootstrap_summary": _bootstrap(),
         "whatif_best_scenario": f"""
 SELECT scenario_id, scenario_name, projected_avg_review, review_delta
 FROM simulation_scenarios {_top('review_delta DESC, scenario_id', 1)}""",
