@@ -11,9 +11,9 @@ Characters are lower-cased; runs of anything but letters count as one space. N-g
 are hashed into ``SLOTS`` places.
 
 Learning reads a bounded sample: of the rows offered, the ``max_training`` first by a
-hash of the id; ``landmarks`` of them, by their first ``LANDMARK_CHARS`` characters,
-are the landmarks. Their kernel values, one short vector a row, are what the driver
-gets. Predictions read whole texts.
+hash of the id; ``landmarks`` of them are the landmarks. What the driver gets of a landmark
+is its slots, at most ``SLOTS``, of another row its kernel values, one short vector. Texts
+are read whole and stay in the tasks.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0, as are
 all rows if nothing can be learnt from; rows with a null or empty language are not
@@ -35,7 +35,6 @@ from pyspark.sql import functions as F
 UNDETERMINED = "und"
 MAX_TRAINING = 4_000
 LANDMARKS = 256
-LANDMARK_CHARS = 4_000
 RIDGE = 1e-4
 SLOTS = 1 << 18
 _SHIFT = np.uint64(64 - 18)
@@ -131,20 +130,25 @@ def fit(
     if bounds is None:
         return LanguageModel([], np.empty(0, dtype=np.int64), np.empty((0, 0)))
     sample = usable.filter(F.col("place") <= bounds)
-    marks = [
-        row["text"]
-        for row in sample.orderBy("place")
-        .limit(landmarks)
-        .select(F.substring("text", 1, LANDMARK_CHARS).alias("text"))
-        .collect()
-    ]
-    slots = [np.unique(ngram_slots(text)) for text in marks]
-    vocabulary = np.unique(np.concatenate(slots))
-    grams = np.zeros((len(vocabulary), len(marks)), dtype=np.float32)
-    for i, own in enumerate(slots):
-        grams[np.searchsorted(vocabulary, own), i] = 1 / np.sqrt(max(len(own), 1))
+    def slots_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            own = [np.unique(ngram_slots(t.as_py())).astype(np.int32) for t in rows.column("text")]
+            yield pa.record_batch([pa.array(own, pa.list_(pa.int32()))], ["slots"])
+
+    marks = sample.orderBy("place").limit(landmarks).select("text")
+    found = marks.mapInArrow(slots_of, "slots array<int>").collect()
+    slots = sorted((np.array(row["slots"], dtype=np.int32) for row in found), key=bytes)
+    vocabulary = np.unique(np.concatenate(slots)).astype(np.int64)
+
+    def dense() -> np.ndarray:
+        """One column per landmark; the closure holds the slots only."""
+        grams = np.zeros((len(vocabulary), len(slots)), dtype=np.float32)
+        for i, own in enumerate(slots):
+            grams[np.searchsorted(vocabulary, own), i] = 1 / np.sqrt(max(len(own), 1))
+        return grams
 
     def kernels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams = dense()
         for rows in batches:
             for at in range(0, rows.num_rows, 128):
                 part = rows.slice(at, 128)
@@ -165,6 +169,7 @@ def fit(
     languages = sorted({row["lang"] for row in rows})
     x = np.array([row["kernel"] for row in rows], dtype=np.float64)
     y = np.array([[float(row["lang"] == name) for name in languages] for row in rows])
+    grams = dense()
     among = (grams.T @ grams).astype(np.float64)
     values, vectors = np.linalg.eigh(among)
     keep = values > 1e-6 * values.max()
@@ -212,10 +217,18 @@ def language_stage(docs: DataFrame, least_score: float = 0.1) -> DataFrame:
     """The documents' own columns; goes what has no language or is near none.
 
     A text whose n-grams the landmarks do not have scores 0 for every language; a
-    short or mixed text of known languages scores some tenths at least.
+    short or mixed text of known languages scores some tenths at least. Only the text goes
+    to Python, and only the verdict comes back. Null and empty texts go; repeated rows
+    are judged each, an empty table gives no rows.
     """
     model = fit(docs, F.coalesce(~held_out(), F.lit(True)))
-    found = predicted(docs, model, *docs.columns).filter(
-        (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least_score)
-    )
-    return found.select(*[F.col("row").getField(name).alias(name) for name in docs.columns])
+
+    @F.arrow_udf("boolean")
+    def known(texts: pa.Array) -> pa.Array:
+        kept = []
+        for at in range(0, len(texts), 128):
+            names, scores = model.predict(texts.slice(at, 128).to_pylist())
+            kept += [n != UNDETERMINED and s >= least_score for n, s in zip(names, scores, strict=True)]
+        return pa.array(kept, pa.bool_())
+
+    return docs.filter(known("text"))

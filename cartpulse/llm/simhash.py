@@ -30,13 +30,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartpulse.llm import similar, tables
+from cartpulse.llm import adaptjoin, tables
 from cartpulse.llm.components import components
 
 SEED = 42
 BITS = 64
-# Two segments of a long; a segment's width should exceed log2 of the fingerprints by little.
-WIDE_SEGMENT = 20
 _BIT_OF_BYTE = np.unpackbits(
     np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little"
 ).astype(np.int64)
@@ -44,20 +42,14 @@ _BYTE_PLACE = np.arange(8, dtype=np.int64) * 256
 
 
 def fingerprint(text: str | None, words_per_shingle: int) -> int:
-    return wide_fingerprint(text, words_per_shingle, 1)[0]
-
-
-def wide_fingerprint(text: str | None, words_per_shingle: int, longs: int) -> list[int]:
-    """The fingerprint, then further ones of the same shingle hashes, mixed anew each."""
     words = (text or "").encode().lower().split()
     if not words:
-        return [0] * longs
+        return 0
     k = words_per_shingle
     shingles = map(b" ".join, zip(*(words[i:] for i in range(k)), strict=False))
     if len(words) < k:
         shingles = iter((b" ".join(words),))
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), "<u8")
-    return [_majority(hashes if n == 0 else _mixed(hashes, n)) for n in range(longs)]
+    return _majority(np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), "<u8"))
 
 
 def _majority(hashes: np.ndarray) -> int:
@@ -67,32 +59,19 @@ def _majority(hashes: np.ndarray) -> int:
     return int(np.packbits(ones, bitorder="little").view("<u8")[0])
 
 
-def _mixed(hashes: np.ndarray, number: int) -> np.ndarray:
-    """Hashes of their own, by the steps of SplitMix64."""
-    with np.errstate(over="ignore"):
-        z = hashes + np.uint64(0x9E3779B97F4A7C15 * number % (1 << 64))
-        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return z ^ (z >> np.uint64(31))
-
-
-def fingerprints(docs: DataFrame, words_per_shingle: int, longs: int = 1) -> DataFrame:
-    """(doc_id, row_key, fp, fp1, ...), ``longs`` fingerprints as signed longs."""
-    names = ["fp", *[f"fp{n}" for n in range(1, longs)]]
+def fingerprints(docs: DataFrame, words_per_shingle: int) -> DataFrame:
+    """(doc_id, row_key, fp), the fingerprint as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            found = np.array(
+            found = [fingerprint(t.as_py(), words_per_shingle) for t in rows.column("text")]
+            yield pa.record_batch(
                 [
-                    wide_fingerprint(t.as_py(), words_per_shingle, longs)
-                    for t in rows.column("text")
+                    rows.column("doc_id"),
+                    rows.column("row_key"),
+                    pa.array(np.array(found, "<u8").view("<i8")),
                 ],
-                "<u8",
-            ).reshape(-1, longs)
-            columns = [pa.array(np.ascontiguousarray(c).view("<i8")) for c in found.T]
-            yield pa.record_batch(
-                [rows.column("doc_id"), rows.column("row_key"), *columns],
-                ["doc_id", "row_key", *names],
+                ["doc_id", "row_key", "fp"],
             )
 
     source = docs.select(
@@ -100,8 +79,7 @@ def fingerprints(docs: DataFrame, words_per_shingle: int, longs: int = 1) -> Dat
         F.xxhash64("doc_id", "text").alias("row_key"),
         "text",
     )
-    kinds = "".join(f", {name} bigint" for name in names)
-    return source.mapInArrow(run, f"doc_id bigint, row_key bigint{kinds}")
+    return source.mapInArrow(run, "doc_id bigint, row_key bigint, fp bigint")
 
 
 def _segments(segments: int) -> list[tuple[int, int]]:
@@ -152,62 +130,6 @@ def links(fps: DataFrame, radius: int, segments: int) -> DataFrame:
     )
 
 
-def wide_links(nodes: DataFrame, radius: int, first_radius: int) -> DataFrame:
-    """Pairs (a, b) of roots that have members at most ``radius`` bits of all longs apart.
-
-    ``nodes`` has fp (different in every row), root and the further longs. The further longs are cut into segments
-    of ``WIDE_SEGMENT`` bits. Both sides are listed under the values one bit around their
-    own, so two members meet in a segment in which they differ by two bits or fewer.
-    Members of one root are not paired. What meets is checked first by ``fp``, then by
-    the complete distance.
-    """
-    others = [name for name in nodes.columns if name not in ("fp", "root")]
-    masks = _ball(WIDE_SEGMENT, 1)
-    values = [
-        _value(F.col(name), 64 // WIDE_SEGMENT * n + i, WIDE_SEGMENT * i, WIDE_SEGMENT)
-        for n, name in enumerate(others)
-        for i in range(2)
-    ]
-    slots = nodes.select(
-        "fp", "root", F.explode(F.array(*values)).alias("value")
-    ).select("fp", "root", "value", F.posexplode(F.lit(masks).cast("array<bigint>")))
-    listed = slots.select(
-        F.col("value").bitwiseXOR(F.col("col")).alias("slot"), F.col("pos").alias("flip"), "fp", "root"
-    )
-    p, e = listed.alias("p"), listed.alias("e")
-    # of the slots that two members share in a segment, one has these flips
-    once = (F.col("p.flip") < F.col("e.flip")) | (
-        (F.col("p.flip") == 0) & (F.col("e.flip") == 0)
-    )
-    near = F.bit_count(F.col("p.fp").bitwiseXOR(F.col("e.fp"))) <= first_radius
-    met = (
-        p.join(
-            e,
-            (F.col("p.slot") == F.col("e.slot"))
-            & (F.col("p.fp") < F.col("e.fp"))
-            & (F.col("p.root") != F.col("e.root"))
-            & once
-            & near,
-        )
-        .select(F.col("p.fp").alias("a"), F.col("e.fp").alias("b"))
-        .distinct()
-    )
-    left, right = (
-        nodes.select(*[F.col(name).alias(f"{side}_{name}") for name in nodes.columns])
-        for side in "ab"
-    )
-    apart = sum(
-        (F.bit_count(F.col(f"a_{n}").bitwiseXOR(F.col(f"b_{n}"))) for n in ["fp", *others]),
-        F.lit(0),
-    )
-    return (
-        met.join(left, F.col("a") == F.col("a_fp"))
-        .join(right, F.col("b") == F.col("b_fp"))
-        .filter(apart <= radius)
-        .select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))
-    )
-
-
 def _rooted(nodes: DataFrame, roots: DataFrame, by: str) -> DataFrame:
     """``nodes`` with ``root``: that of column ``by``, itself without a link."""
     renamed = roots.withColumnsRenamed({"node": "of_node", "root": "of_root"})
@@ -218,37 +140,19 @@ def _rooted(nodes: DataFrame, roots: DataFrame, by: str) -> DataFrame:
     )
 
 
-def near_groups(
-    docs: DataFrame,
-    words_per_shingle: int,
-    radius: int,
-    segments: int,
-    longs: int = 1,
-    wide_radius: int = 0,
-    first_radius: int = BITS,
-) -> DataFrame:
+def near_groups(docs: DataFrame, words_per_shingle: int, radius: int, segments: int) -> DataFrame:
     """(doc_id, row_key, fp, component_id, keeper) of every row.
 
     ``component_id`` is the smallest ``doc_id`` reachable over links, ``keeper`` the
     row key of one document of the component (smallest id, then smallest key).
-    With more ``longs`` than one, components of the 64 bits are then linked by
-    ``wide_links``.
     """
-    rows = tables.stored(fingerprints(docs, words_per_shingle, longs), "fingerprints")
+    rows = tables.stored(fingerprints(docs, words_per_shingle), "fingerprints")
     last = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
-    others = [F.min(f"fp{n}").alias(f"fp{n}") for n in range(1, longs)]
     different = tables.stored(
-        rows.groupBy("fp").agg(
-            F.min("doc_id").alias("doc_id"), F.min(last).alias("keeper"), *others
-        ),
+        rows.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.min(last).alias("keeper")),
         "fingerprint-index",
     )
     rooted = _rooted(different, components(links(different.select("fp"), radius, segments)), "fp")
-    if longs > 1:
-        rooted = tables.stored(rooted, "rooted")
-        nodes = rooted.drop("doc_id", "keeper")
-        wider = components(wide_links(nodes, wide_radius, first_radius))
-        rooted = _rooted(rooted, wider, "root")
     named = rooted.groupBy("root").agg(
         F.min("doc_id").alias("component_id"), F.min("keeper").alias("least")
     )
@@ -273,11 +177,7 @@ def near_duplicates(
 def dedup_stage(docs: DataFrame, words_per_shingle: int = 5) -> DataFrame:
     """The documents' own columns, one document of each group of similar ones.
 
-    Fingerprints only estimate a similarity, so links come from ``similar``: all pairs
+    Fingerprints only estimate a similarity, so links come from ``adaptjoin``: all pairs
     of 4/5 or more of the different shingles, and no others.
     """
-    keepers = similar.similar_groups(docs, words_per_shingle).withColumnRenamed("keeper", "row_key")
-    key = tables.free_name(docs, "row_key")
-    marked = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), "text"))
-    kept = marked.join(keepers, marked[key] == keepers["row_key"], "left_semi")
-    return kept.dropDuplicates([key]).select(*docs.columns)
+    return adaptjoin.one_of_each_group(docs, words_per_shingle)

@@ -1,24 +1,13 @@
-"""Groups of documents by exact similarity: shingle sets of Jaccard similarity 4/5 or more are linked.
-
-Equal sets are folded first. Candidates come from a complete prefix filter: with the
-shingles of every set in one common order, two sets of similarity 4/5 share one of the
-first ``n - ceil(4n/5) + 1`` of each, and what follows the first shared one on both sides
-is long enough. The order is by how often a shingle's slot was counted, then by hash:
-frequent shingles come last and meet rarely. The counts only steer the order, any counts
-give the same links.
-
-Before that, sets are compared with one leader for each of their ``LEADS`` smallest
-hashes. This links most of a large group by few comparisons, and the complete
-search then leaves out pairs that are in one component already. Every link, of either
-search, is verified by the number of common shingles, in integers.
-
-Defined cases as in ``simhash``; a text without words is an empty set, equal to others
-of its kind and to nothing else.
+"""Word shingles as hashes, and which of them are seen often.
+
+Defined cases: words are runs without white space (space, \\t \\n \\v \\f \\r), A-Z
+lower-cased; a text of fewer words than a shingle is one shingle; a text without words,
+or null, has none.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -27,13 +16,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartpulse.llm import tables
-from cartpulse.llm.components import components
-
 SEED = 42
 SLOT_BITS = 22
 MARKED = 1 << 18
-LEADS = 8
 
 
 def shingle_hashes(text: str | None, words_per_shingle: int) -> np.ndarray:
@@ -46,174 +31,45 @@ def shingle_hashes(text: str | None, words_per_shingle: int) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), "<u8")
 
 
-def _slots(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-
-
-def _signed(hashes: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(hashes).view("<i8")
+def slots(hashes: np.ndarray) -> np.ndarray:
+    """Two places of every hash, one row each: by its first bits, and by its last."""
+    first = (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+    last = (hashes & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)
+    return np.stack([first, last + (1 << SLOT_BITS)])
 
 
 def frequent_slots(docs: DataFrame, words_per_shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of frequent shingles and their counts, at most ``MARKED``."""
+    """Slots of frequent shingles and their counts, at most ``2 * MARKED``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SLOT_BITS, np.int64)
+        counts = np.zeros(2 << SLOT_BITS, np.int32)
         for rows in batches:
             for text in rows.column("text"):
                 own = np.unique(shingle_hashes(text.as_py(), words_per_shingle))
-                np.add.at(counts, _slots(own), 1)
+                np.add.at(counts, slots(own).ravel(), 1)
         often = np.flatnonzero(counts > 1 + 4 * counts.mean())
         for part in np.array_split(often, len(often) // 65_536 + 1):
             yield pa.record_batch([pa.array(part), pa.array(counts[part])], ["slot", "n"])
 
     found = (
         docs.select("text")
-        .mapInArrow(run, "slot bigint, n bigint")
+        .mapInArrow(run, "slot bigint, n int")
         .groupBy("slot")
         .agg(F.sum("n").alias("n"))
         .orderBy(F.desc("n"), "slot")
-        .limit(MARKED)
+        .limit(2 * MARKED)
         .toArrow()
     )
     return found["slot"].to_numpy(), found["n"].to_numpy()
 
 
-def _rows(docs: DataFrame, words_per_shingle: int) -> DataFrame:
-    """(doc_id, row_key, node, n, prefix, leads) of every row; ``node`` is the set's hash."""
-    slots, often = frequent_slots(docs, words_per_shingle)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SLOT_BITS, np.int64)
-        counts[slots] = often
-        for rows in batches:
-            nodes, sizes, prefixes, leads = [], [], [], []
-            for text in rows.column("text"):
-                own = np.unique(shingle_hashes(text.as_py(), words_per_shingle))
-                n = len(own)
-                ordered = own[np.lexsort((own, counts[_slots(own)]))]
-                nodes.append(xxhash.xxh64_intdigest(own.tobytes(), SEED))
-                sizes.append(n)
-                prefixes.append(_signed(ordered[: n - (4 * n + 4) // 5 + 1]))
-                leads.append(_signed(own[:LEADS]))
-            yield pa.record_batch(
-                [
-                    rows.column("doc_id"),
-                    rows.column("row_key"),
-                    pa.array(_signed(np.array(nodes, "<u8"))),
-                    pa.array(sizes, pa.int32()),
-                    pa.array(prefixes, pa.list_(pa.int64())),
-                    pa.array(leads, pa.list_(pa.int64())),
-                ],
-                ["doc_id", "row_key", "node", "n", "prefix", "leads"],
-            )
-
-    kind = "doc_id bigint, row_key bigint, node bigint, n int, prefix array<bigint>, leads array<bigint>"
-    return keyed(docs).mapInArrow(run, kind)
+def seen_often(marked: np.ndarray, counts: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
+    """How often each of some hashes is seen, at least 1: the smaller count of its two slots."""
+    table = np.ones(2 << SLOT_BITS, np.int64)
+    table[marked] = counts
+    return lambda hashes: table[slots(hashes)].min(axis=0)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
     doc_id = F.col("doc_id").cast("long")
     return docs.select(doc_id.alias("doc_id"), F.xxhash64(doc_id, "text").alias("row_key"), "text")
-
-
-def _sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words_per_shingle: int) -> DataFrame:
-    """(node, hashes) of the nodes in ``pairs``, from the text of each one's keeper."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            own = [
-                _signed(np.unique(shingle_hashes(t.as_py(), words_per_shingle)))
-                for t in rows.column("text")
-            ]
-            yield pa.record_batch(
-                [rows.column("node"), pa.array(own, pa.list_(pa.int64()))], ["node", "hashes"]
-            )
-
-    named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    keepers = nodes.join(named, "node", "left_semi").select(
-        "node", F.col("keeper.row_key").alias("of_row")
-    )
-    texts = keyed(docs).join(keepers, F.col("row_key") == F.col("of_row")).select("node", "text")
-    # a repeated row gives its set again
-    found = texts.mapInArrow(run, "node bigint, hashes array<bigint>").dropDuplicates(["node"])
-    return tables.stored(found, "shingle-sets")
-
-
-def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words_per_shingle: int) -> DataFrame:
-    """The ``pairs`` (a, b) whose sets have a similarity of 4/5 or more."""
-    sets = _sets(docs, nodes, pairs, words_per_shingle)
-    left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("a_hashes"))
-    right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("b_hashes"))
-    both = F.size("a_hashes") + F.size("b_hashes")
-    common = F.size(F.array_intersect("a_hashes", "b_hashes"))
-    return pairs.join(left, "a").join(right, "b").filter(common * 9 >= both * 4).select("a", "b")
-
-
-def rooted(nodes: DataFrame, edges: DataFrame, by: str) -> DataFrame:
-    """``nodes`` with ``root``: that of column ``by``, itself without an edge."""
-    found = components(edges).withColumnsRenamed({"node": "of_node", "root": "of_root"})
-    return (
-        nodes.join(found, F.col(by) == F.col("of_node"), "left")
-        .withColumn("root", F.coalesce("of_root", by))
-        .drop("of_node", "of_root")
-    )
-
-
-def _led(nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b): a set and one that shares one of its smallest hashes, the same for all who do.
-
-    Every hash picks by an order of its own, so that a group has many leaders and is
-    linked even where a part of its pairs is not similar.
-    """
-    listed = nodes.select("node", "n", F.explode("leads").alias("token"))
-    picked = F.min(F.struct(F.xxhash64("node", "token"), "node", "n"))
-    leaders = listed.groupBy("token").agg(picked.alias("of"))
-    alike = F.least("of.n", "n") * 5 >= F.greatest("of.n", "n") * 4
-    return (
-        listed.join(leaders, "token")
-        .filter((F.col("of.node") != F.col("node")) & alike)
-        .select(F.least("of.node", "node").alias("a"), F.greatest("of.node", "node").alias("b"))
-        .distinct()
-    )
-
-
-def candidates(nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different ``root``: all that can have a similarity of 4/5, and more."""
-    listed = nodes.select("node", "root", "n", F.posexplode("prefix").alias("pos", "token"))
-    p, e = listed.alias("p"), listed.alias("e")
-    p_n, e_n = F.col("p.n"), F.col("e.n")
-    alike = F.least(p_n, e_n) * 5 >= F.greatest(p_n, e_n) * 4
-    rest = F.least(p_n - F.col("p.pos"), e_n - F.col("e.pos"))
-    met = (
-        (F.col("p.token") == F.col("e.token"))
-        & (F.col("p.node") < F.col("e.node"))
-        & (F.col("p.root") != F.col("e.root"))
-        & alike
-        & (rest * 9 >= (p_n + e_n) * 4)
-    )
-    return p.join(e, met).select(F.col("p.node").alias("a"), F.col("e.node").alias("b")).distinct()
-
-
-def similar_groups(docs: DataFrame, words_per_shingle: int) -> DataFrame:
-    """``keeper`` (row key of the smallest id, then key) of every component of similar documents."""
-    rows = tables.stored(_rows(docs, words_per_shingle), "shingle-rows")
-    last = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
-    firsts = [F.any_value(name).alias(name) for name in ("n", "prefix", "leads")]
-    nodes = tables.stored(
-        rows.groupBy("node").agg(F.min(last).alias("keeper"), *firsts), "shingle-nodes"
-    )
-    led = tables.stored(_led(nodes), "led-pairs")
-    first = tables.stored(
-        rooted(nodes, _verified(docs, nodes, led, words_per_shingle), "node"), "rooted"
-    )
-    met = tables.stored(candidates(first), "met-pairs")
-    edges = _verified(docs, nodes, met, words_per_shingle)
-    for side in "ab":
-        of_side = first.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root"))
-        edges = edges.join(of_side, side)
-    between = edges.select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))
-    groups = rooted(first.select("root", "keeper").withColumnRenamed("root", "by"), between, "by")
-    return groups.groupBy("root").agg(F.min("keeper").alias("least")).select(
-        F.col("least.row_key").alias("keeper")
-    )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cartpulse.functions import text as T
 from cartpulse.operators import fact, keywords, models, whatif
 from cartpulse.operators.imputation import timestamps_to_text
-from cartpulse.plans import dashboards, tables
+from cartpulse.plans import dashboards, roundtrips, tables
 from cartpulse.plans.mart import LiveMart, Mart
 from cartpulse.schemas import FACT
 from cartpulse.sources import scratch, snapshots, testtables
@@ -236,4 +236,4 @@ def all_queries() -> dict[str, RunQuery]:
         found[f"agg_{name}"] = _on_mart(REPEATABLE.get(name, build))
     # the scenario notes are prose and no result
     found["agg_simulation_scenarios"] = _on_mart(_rule_summary)
-    return found | OPERATORS
+    return found | OPERATORS | roundtrips.queries(REPEATABLE)

@@ -108,10 +108,16 @@ def newest_of_key(rows: DataFrame, keys: Sequence[str], day: str = DAY) -> DataF
 
 
 class Store:
-    """The folders of a base path; ``builders`` swaps builders of tables."""
-
-    def __init__(self, spark: SparkSession, base: str, builders: Builders | None = None) -> None:
-        self.spark, self.base = spark, base
+    """The folders of a base path; ``builders`` swaps builders of tables, ``tables`` names those kept."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        base: str,
+        builders: Builders | None = None,
+        tables: Sequence[str] = KEPT,
+    ) -> None:
+        self.spark, self.base, self.tables = spark, base, tables
         self.builders = {**BUILDERS, **(builders or {})}
 
     def days(self) -> dict[str, str]:
@@ -181,7 +187,7 @@ class Store:
             self.write(waits.join(present, key, "left_anti"), folder, f"waiting/{name}")
 
         delta = _DeltaMart(self, [(new, 1), (old, -1)], day)
-        for name in KEPT:
+        for name in self.tables:
             with M.kept_by(_Writer(self, folder, name)):
                 self.builders[name](delta)
         commits.commit(self.spark, self.base, day, folder)
@@ -225,7 +231,7 @@ class Store:
         """
         days = self.days()
         folder = commits.new_folder(f"upto={max(days)}")
-        for name in KEPT:
+        for name in self.tables:
             with M.kept_by(_Folder(self, self.state_folders(), name, folder)):
                 self.builders[name](_ReadingMart(self))
         commits.commit(self.spark, f"{self.base}/compacted", days[max(days)], folder)
@@ -363,7 +369,7 @@ class KeptMart:
 
     def table(self, name: str) -> DataFrame:
         build = self.store.builders[name]
-        if name not in KEPT:
+        if name not in self.store.tables:
             return build(self)
         if not self._days:
             raise FileNotFoundError(f"no day in {self.store.base}")

@@ -104,7 +104,14 @@ def read_feature_impact(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, TABLES["analytics.simulation_feature_impact"])
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").option(
-        "escape", '"'
-    ).csv(path)
+def write_csv(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
+    """With a header; texts keep their white space, quotes are doubled."""
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("encoding", encoding)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -11,6 +12,9 @@ from cartpulse.llm import adaptjoin
 from tests.conftest import rows_of
 
 
+BITS = "bits0 bigint, bits1 bigint, bits2 bigint, bits3 bigint"
+
+
 def shingle_set(text, k=5):
     words = (text or "").translate(str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})).split()
     if len(words) < k:
@@ -96,8 +100,8 @@ def test_prefixes_of_linked_sets_share_the_smaller_number_asked_for():
         common = len(np.intersect1d(a, b))
         if 9 * common < 4 * (len(a) + len(b)):
             continue
-        m_a, prefix_a = adaptjoin.prefix_of(np.sort(a), frequency[np.sort(a)])
-        m_b, prefix_b = adaptjoin.prefix_of(b, frequency[b])
+        m_a, prefix_a, _ = adaptjoin.prefix_of(np.sort(a), frequency[np.sort(a)])
+        m_b, prefix_b, _ = adaptjoin.prefix_of(b, frequency[b])
         asked |= {m_a, m_b}
         assert len(np.intersect1d(prefix_a, prefix_b)) >= min(m_a, m_b)
     assert len(asked) > 2  # costs lengthened some prefixes
@@ -108,9 +112,32 @@ def test_rare_tokens_ask_for_one_match_and_frequent_ones_for_more():
     assert adaptjoin.matches_to_ask(np.full(100, 1000, dtype=np.int64), 100) == adaptjoin.MOST_MATCHES
 
 
+def test_bitmaps_never_differ_in_more_bits_than_the_sets_in_tokens():
+    draw = np.random.default_rng(6)
+    for _ in range(300):
+        a, b = (draw.integers(0, 1 << 63, int(draw.integers(1, 300))).astype("<u8") for _ in range(2))
+        b = np.concatenate([b, a[: int(draw.integers(0, len(a) + 1))]])
+        a, b = np.unique(a), np.unique(b)
+        apart = adaptjoin.bits_apart(adaptjoin.bitmap(a), adaptjoin.bitmap(b))
+        assert apart <= len(np.setxor1d(a, b)) and (apart > 0 or len(np.setxor1d(a, b)) % 2 == 0)
+
+
+def test_marks_and_own_tokens(spark):
+    draw = random.Random(9)
+    prefixes = [[draw.randrange(-(1 << 63), 1 << 63) for _ in range(21)] for _ in range(30)]
+    for n, prefix in enumerate(prefixes):
+        prefix[3] = prefixes[n // 2][3]  # shared by some
+    rows = [(n, 100, 1, 5, 6, 0, 0, 0, 0, prefix) for n, prefix in enumerate(prefixes)]
+    schema = f"node bigint, n bigint, matches int, last_seen bigint, last_token bigint, {BITS}, prefix array<bigint>"
+    postings = adaptjoin.shared_postings(spark.createDataFrame(rows, schema))
+    held = Counter(token for prefix in prefixes for token in prefix)
+    want = [(token, n, pos, sum(held[t] == 1 for t in prefix), sum(held[t] > 1 for t in prefix[:pos])) for n, prefix in enumerate(prefixes) for pos, token in enumerate(prefix) if held[token] > 1]
+    assert rows_of(postings, "token", "node", "pos", "own", "rank") == sorted(want, key=repr) and want
+
+
 def test_no_pairs_within_a_component(spark):
     nodes = [(i, 100, 1, list(range(20)), 0) for i in range(200)] + [(500, 100, 1, [3], 500)]
-    rows = [(token, node, n, m, pos, root) for node, n, m, prefix, root in nodes for pos, token in enumerate(prefix)]
-    schema = "token bigint, node bigint, n bigint, matches int, pos int, root bigint"
+    rows = [(token, node, n, m, pos, 0, 1, 2, pos, 0, 0, 0, 0, root) for node, n, m, prefix, root in nodes for pos, token in enumerate(prefix)]
+    schema = f"token bigint, node bigint, n bigint, matches int, pos int, own int, last_seen bigint, last_token bigint, rank int, {BITS}, root bigint"
     found = rows_of(adaptjoin.complete_pairs(spark.createDataFrame(rows, schema)))
     assert found == [(i, 500) for i in sorted(range(200), key=lambda i: repr((i, 500)))]

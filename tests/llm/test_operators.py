@@ -89,6 +89,29 @@ def test_plans(seed):
     assert placed == counts
     assert completion.lower_bound(counts, capacity) <= fewest(lengths, capacity)
     assert completion.size(plan) == fewest(lengths, capacity)
+    exact = completion.bin_completion(counts, capacity, max_nodes=None, width=None)
+    assert completion.size(exact) == fewest(lengths, capacity)
+    assert all(sum(x * n for x, n in filling) <= capacity for filling, _ in exact)
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_fillings_without_a_width_are_all_undominated_ones(seed):
+    draw = random.Random(seed)
+    left = dict(Counter(draw.randint(2, 12) for _ in range(draw.randint(1, 9))))
+    room, most = draw.randint(5, 25), draw.randint(0, 25)
+    pieces = [x for x, n in left.items() for _ in range(n)]
+    every = {
+        tuple(sorted((x for i, x in enumerate(pieces) if mask >> i & 1), reverse=True))
+        for mask in range(1 << len(pieces))
+    }
+    want = {f for f in every if room - most <= sum(f) <= room and completion.undominated(list(f), room, left)}
+    got = completion.fillings(left, room, most, None)
+    if left.get(room):
+        assert got == [(room,)]
+    else:
+        assert set(got) == want and len(got) == len(want)
+        assert [sum(f) for f in got] == sorted((sum(f) for f in got), reverse=True)
+        assert completion.fillings(left, room, most, 1) == got[:1]
 
 
 @pytest.mark.parametrize("text", ["I'LL don't 12 <|endoftext|>x", "É́ ǅ漢字 a\x1cb\x85c", "Σ ΑΣ", "", "a..b,c", "\x0bß\xa0"])
@@ -250,33 +273,6 @@ def test_stage_keeps_one_of_near_copies_and_all_others(frame):
     assert all(r.doc_id == group.index(group[r.doc_id]) for r in kept)
 
 
-def test_wide_links_by_brute_force(frame):
-    draw = random.Random(6)
-    starts = [[draw.getrandbits(64) for _ in range(4)] for _ in range(12)]
-    nodes = [(n // 2, *longs) for n, longs in enumerate(starts)]
-    for n, longs in enumerate(starts):
-        for flips in (8, 30, 60):
-            near = [longs[0] ^ 1 << flips, *longs[1:]]  # fp differs, as in folded rows
-            for bit in draw.sample(range(64, 256), flips):
-                near[bit // 64] ^= 1 << bit % 64
-            nodes.append((100 + 3 * n + flips % 7, *near))
-    signed = [(r, *(x - (1 << 64) * (x >> 63) for x in longs)) for r, *longs in nodes]
-    df = frame("root bigint, fp bigint, fp1 bigint, fp2 bigint, fp3 bigint", signed)
-    got = {frozenset((r.a, r.b)) for r in simhash.wide_links(df, 44, 16).collect()}
-
-    def segments(longs):
-        return [(x >> 20 * i) & 0xFFFFF for x in longs[1:] for i in range(2)]
-
-    want = set()
-    for i, (r, *a) in enumerate(nodes):
-        for q, *b in nodes[:i]:
-            bits = [(x ^ y).bit_count() for x, y in zip(a, b)]
-            met = any((x ^ y).bit_count() <= 2 for x, y in zip(segments(a), segments(b)))
-            if r != q and met and bits[0] <= 16 and sum(bits) <= 44:
-                want.add(frozenset((r, q)))
-    assert got == want and want
-
-
 # ------------------------------------------------------------------ fingerprints
 
 

@@ -474,6 +474,26 @@ SELECT order_id, order_item_id, review_score AS actual_review,
        {', '.join(f'CAST(review_score AS DOUBLE) AS predicted_review_{s}' for s in t.NAMES)},
        0e0 AS "max_uplift_S5"
 FROM prepared""",
+        "source_csv_orders": f"SELECT * REPLACE ({as_text}) FROM orders_in",
+        "source_csv_items": "SELECT * FROM items_in",
+        "source_csv_reviews": f"""
+SELECT review_id, order_id, review_score, {t.TEXT_TIME.format('review_creation_date')},
+       md5(review_comment_message) AS text_md5, CAST(length(review_comment_message) AS INTEGER) AS text_length
+FROM reviews_in""",
+        "source_csv_scenarios": "SELECT * FROM simulation_scenarios",
+        "source_utf16_sample": """
+SELECT review_score, count(*) AS sampled,
+       CAST(sum(CAST(round(delivery_delay_days * 86400) AS BIGINT)) AS BIGINT) AS delay_seconds,
+       CAST(sum(CAST(round(shipping_duration_days * 86400) AS BIGINT)) AS BIGINT) AS duration_seconds,
+       CAST(sum(freight_u) AS BIGINT) AS freight_units, CAST(sum(price_u) AS BIGINT) AS price_units,
+       count(product_weight_g) AS weighed
+FROM clean WHERE review_score IS NOT NULL GROUP BY review_score""",
+        **{
+            f"kept_{name}": f"SELECT * FROM {name}"
+            for name in (
+                "category_summary", "customer_loyalty_rfm", "geographic_analysis", "tfidf_review_keywords",
+            )
+        },
         "stream_category_trend": f"""
 SELECT event_type AS category, count(DISTINCT event_id) AS total_orders,
        {r("CAST(sum(CAST(round(value * 10000) AS BIGINT)) AS DOUBLE) / 10000e0", 2)} AS total_revenue
