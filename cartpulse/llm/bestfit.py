@@ -81,32 +81,57 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int = CAPACITY) -> Pla
     return [(filling, times) for groups in opened.values() for filling, times in groups]
 
 
+PLACES_TO_SEND = 1 << 20
 _MATRIX = {
-    "sequence_id": ("bigint", pa.int64()),
-    "n_tokens": ("bigint", pa.int64()),
-    "doc_ids": ("array<bigint>", pa.list_(pa.int64())),
-    "pieces": ("array<int>", pa.list_(pa.int32())),
-    "cu_seqlens": ("array<int>", pa.list_(pa.int32())),
-    "position_resets": ("array<int>", pa.list_(pa.int32())),
-    "token_ids": ("binary", pa.binary()),
-    "ids_crc32": ("bigint", pa.int64()),
+    "sequence_id": "bigint",
+    "n_tokens": "bigint",
+    "doc_ids": "array<bigint>",
+    "pieces": "array<int>",
+    "cu_seqlens": "array<int>",
+    "position_resets": "array<int>",
+    "token_ids": "binary",
+    "ids_crc32": "bigint",
 }
 
 
-def _matrix_row(sequence: int, parts: list[dict], capacity: int) -> tuple:
-    ids = [packing.unsqueezed(part["ids"]) for part in parts]
-    ends = np.cumsum([len(one) for one in ids]).tolist()
-    row = np.zeros(capacity, dtype="<u2")
-    row[: ends[-1]] = np.concatenate(ids)
-    return (
-        sequence,
-        ends[-1],
-        [part["doc_id"] for part in parts],
-        [part["piece"] for part in parts],
-        [0, *ends],
-        [0, *ends[:-1]],
-        row.tobytes(),
-        zlib.crc32(row[: ends[-1]].astype("<u4").tobytes()),
+def _lists(values: pa.Array, ends: np.ndarray) -> pa.ListArray:
+    """``values`` cut after each of ``ends``."""
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), values)
+
+
+def _matrix(sequences: pa.Array, parts: pa.ListArray, capacity: int) -> pa.RecordBatch:
+    """Rows of the id matrix from the parts of every sequence, which are in order."""
+    pieces = parts.flatten()
+    n_parts = np.diff(parts.offsets.to_numpy())
+    ends = np.cumsum(n_parts)
+    starts = pieces.field("offset").to_numpy().astype(np.int64)
+    ids = pieces.field("ids")
+    _, places, held = ids.buffers()
+    bounds = np.frombuffer(places, np.int32)[ids.offset : ids.offset + len(ids) + 1] // 2
+    numbers = np.frombuffer(held, "<u2", int(bounds[-1])) if held else np.empty(0, "<u2")
+    lengths = np.diff(bounds)
+    rows = np.zeros((len(n_parts), capacity), dtype="<u2")
+    row_of = np.repeat(np.arange(len(n_parts)), n_parts)
+    for row, at, lo, hi in zip(row_of, starts, bounds[:-1], bounds[1:], strict=True):
+        rows[row, at : at + hi - lo] = numbers[lo:hi]
+    tokens = (starts + lengths)[ends - 1]
+    # bounds of the segments: the starts of all and the end of the last
+    bounded = np.insert(starts, ends, tokens)
+    return pa.record_batch(
+        [
+            sequences,
+            pa.array(tokens, pa.int64()),
+            _lists(pieces.field("doc_id"), ends),
+            _lists(pieces.field("piece"), ends),
+            _lists(pa.array(bounded, pa.int32()), ends + np.arange(1, len(ends) + 1)),
+            _lists(pa.array(starts, pa.int32()), ends),
+            pa.array([row.tobytes() for row in rows], pa.binary()),
+            pa.array(
+                [zlib.crc32(row[:n].astype("<u4")) for row, n in zip(rows, tokens, strict=True)],
+                pa.int64(),
+            ),
+        ],
+        list(_MATRIX),
     )
 
 
@@ -123,28 +148,25 @@ def packed_matrices(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -
         for rows in batches:
             for at in range(0, rows.num_rows, 256):
                 part = rows.slice(at, 256)
-                found = zip(
-                    part.column("sequence_id").to_pylist(),
-                    part.column("parts").to_pylist(),
-                    strict=True,
-                )
-                columns = zip(*(_matrix_row(*one, capacity) for one in found), strict=True)
-                yield pa.record_batch(
-                    [pa.array(c, k) for c, (_, k) in zip(columns, _MATRIX.values(), strict=True)],
-                    list(_MATRIX),
-                )
+                yield _matrix(part.column("sequence_id"), part.column("parts"), capacity)
 
     cut = tables.stored(packing.pieces(docs, tokenizer, capacity, with_ids=True), "id-pieces")
     plan_of = partial(best_fit_decreasing, capacity=capacity)
-    placed = packing.dealt(cut.select("uid", "length"), plan_of)
+    placed = tables.stored(
+        packing.dealt(cut.select("uid", "length"), plan_of).select("uid", "sequence_id", "offset"),
+        "places",
+    )
+    # few places are sent to the ids, which then move once, to their sequences
+    if placed.count() <= PLACES_TO_SEND:
+        placed = F.broadcast(placed)
     segment = F.struct("offset", "doc_id", "piece", "ids")
     sequences = (
-        placed.select("uid", "sequence_id", "offset")
-        .join(cut.select("uid", "doc_id", "piece", "ids"), "uid")
+        cut.select("uid", "doc_id", "piece", "ids")
+        .join(placed, "uid")
         .groupBy("sequence_id")
         .agg(F.sort_array(F.collect_list(segment)).alias("parts"))
     )
-    schema = ", ".join(f"{name} {kind}" for name, (kind, _) in _MATRIX.items())
+    schema = ", ".join(f"{name} {kind}" for name, kind in _MATRIX.items())
     return sequences.mapInArrow(matrices, schema)
 
 

@@ -22,7 +22,6 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,7 +45,7 @@ def pieces(
 ) -> DataFrame:
     """Pieces of every document, each with a number of its own (``uid``).
 
-    ``ids`` is null unless asked for, then the ids as compressed 16-bit numbers. The
+    ``ids`` is null unless asked for, then the ids as 16-bit numbers. The
     numbers follow from the partition and so are fixed once the rows are stored.
     """
 
@@ -61,7 +60,7 @@ def pieces(
                 ids = known.document(text.as_py())
                 for number, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
-                    kept = squeezed(part) if with_ids else None
+                    kept = narrow(part) if with_ids else None
                     length, crc = len(part) // 4, zlib.crc32(part)
                     found.append((uid, doc_id, number, at // 4, length, crc, kept))
                     uid += 1
@@ -75,16 +74,12 @@ def pieces(
     return source.mapInArrow(run, PIECE)
 
 
-def squeezed(ids: bytes) -> bytes:
-    """Ids as 16-bit numbers, compressed; the public vocabularies are smaller than 65,536."""
+def narrow(ids: bytes) -> bytes:
+    """Ids as 16-bit numbers; the public vocabularies are smaller than 65,536."""
     numbers = np.frombuffer(ids, "<u4")
     if len(numbers) and numbers.max() > 0xFFFF:
         raise ValueError("the vocabulary does not fit 16-bit ids")
-    return zstandard.compress(numbers.astype("<u2").tobytes(), 1)
-
-
-def unsqueezed(stored: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(stored), "<u2")
+    return numbers.astype("<u2").tobytes()
 
 
 def _batch(found: list[tuple]) -> pa.RecordBatch:
