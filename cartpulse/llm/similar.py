@@ -32,21 +32,17 @@ def shingle_hashes(text: str | None, words_per_shingle: int) -> np.ndarray:
 
 
 def slots(hashes: np.ndarray) -> np.ndarray:
-    """Two places of every hash, one row each: by its first bits, and by its last."""
-    first = (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-    last = (hashes & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)
-    return np.stack([first, last + (1 << SLOT_BITS)])
+    return (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
 def frequent_slots(docs: DataFrame, words_per_shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of frequent shingles and their counts, at most ``2 * MARKED``."""
+    """Slots of frequent shingles and how often they are seen, repeats included, at most ``MARKED``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(2 << SLOT_BITS, np.int32)
+        counts = np.zeros(1 << SLOT_BITS, np.int32)
         for rows in batches:
             for text in rows.column("text"):
-                own = np.unique(shingle_hashes(text.as_py(), words_per_shingle))
-                np.add.at(counts, slots(own).ravel(), 1)
+                np.add.at(counts, slots(shingle_hashes(text.as_py(), words_per_shingle)), 1)
         often = np.flatnonzero(counts > 1 + 4 * counts.mean())
         for part in np.array_split(often, len(often) // 65_536 + 1):
             yield pa.record_batch([pa.array(part), pa.array(counts[part])], ["slot", "n"])
@@ -57,17 +53,17 @@ def frequent_slots(docs: DataFrame, words_per_shingle: int) -> tuple[np.ndarray,
         .groupBy("slot")
         .agg(F.sum("n").alias("n"))
         .orderBy(F.desc("n"), "slot")
-        .limit(2 * MARKED)
+        .limit(MARKED)
         .toArrow()
     )
     return found["slot"].to_numpy(), found["n"].to_numpy()
 
 
 def seen_often(marked: np.ndarray, counts: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
-    """How often each of some hashes is seen, at least 1: the smaller count of its two slots."""
-    table = np.ones(2 << SLOT_BITS, np.int64)
+    """How often each of some hashes is seen, by its slot, at least 1."""
+    table = np.ones(1 << SLOT_BITS, np.float32)  # counts beyond 2 ** 24 need not be exact
     table[marked] = counts
-    return lambda hashes: table[slots(hashes)].min(axis=0)
+    return lambda hashes: table[slots(hashes)].astype(np.int64)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
