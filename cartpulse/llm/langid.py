@@ -36,6 +36,7 @@ UNDETERMINED = "und"
 MAX_TRAINING = 4_000
 LANDMARKS = 256
 RIDGE = 1e-4
+BATCH = 32  # texts scored by one product; a row has a number for each n-gram known
 SLOTS = 1 << 18
 _SHIFT = np.uint64(64 - 18)
 _SPACE = 32
@@ -139,38 +140,44 @@ def fit(
     found = marks.mapInArrow(slots_of, "slots array<int>").collect()
     slots = sorted((np.array(row["slots"], dtype=np.int32) for row in found), key=bytes)
     vocabulary = np.unique(np.concatenate(slots)).astype(np.int64)
+    listed = np.concatenate(slots)
+    starts = np.cumsum([0, *map(len, slots[:-1])])
+    roots = np.sqrt([len(own) for own in slots])
 
-    def dense() -> np.ndarray:
-        """One column per landmark; the closure holds the slots only."""
-        grams = np.zeros((len(vocabulary), len(slots)), dtype=np.float32)
-        for i, own in enumerate(slots):
-            grams[np.searchsorted(vocabulary, own), i] = 1 / np.sqrt(max(len(own), 1))
-        return grams
+    def kernel(present: np.ndarray) -> np.ndarray:
+        """Kernel values of a text, given by a flag for each slot, with every landmark."""
+        common = np.add.reduceat(present[listed], starts, dtype=np.int64)
+        return common / roots / np.sqrt(max(np.count_nonzero(present), 1))
 
     def kernels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = dense()
+        present = np.zeros(SLOTS, dtype=bool)
         for rows in batches:
-            for at in range(0, rows.num_rows, 128):
-                part = rows.slice(at, 128)
-                has, sizes = presence(part.column("text").to_pylist(), vocabulary)
-                values = has @ grams / np.sqrt(np.maximum(sizes, 1))[:, None]
-                yield pa.record_batch(
-                    [part.column("lang"), pa.array(list(values), pa.list_(pa.float32()))],
-                    ["lang", "kernel"],
-                )
+            values = []
+            for text in rows.column("text"):
+                own = ngram_slots(text.as_py())
+                present[own] = True
+                values.append(kernel(present))
+                present[own] = False
+            yield pa.record_batch(
+                [rows.column("lang"), pa.array(values, pa.list_(pa.float64()))], ["lang", "kernel"]
+            )
 
     # equal ids may share the last place; the row bound holds all the same
     rows = (
         sample.limit(max_training)
         .select("text", "lang")
-        .mapInArrow(kernels, "lang string, kernel array<float>")
+        .mapInArrow(kernels, "lang string, kernel array<double>")
         .collect()
     )
     languages = sorted({row["lang"] for row in rows})
     x = np.array([row["kernel"] for row in rows], dtype=np.float64)
     y = np.array([[float(row["lang"] == name) for name in languages] for row in rows])
-    grams = dense()
-    among = (grams.T @ grams).astype(np.float64)
+    present = np.zeros(SLOTS, dtype=bool)
+    among = np.empty((len(slots), len(slots)))
+    for i, own in enumerate(slots):
+        present[own] = True
+        among[i] = kernel(present)
+        present[own] = False
     values, vectors = np.linalg.eigh(among)
     keep = values > 1e-6 * values.max()
     to_features = vectors[:, keep] / np.sqrt(values[keep])
@@ -179,8 +186,11 @@ def fit(
         features.T @ features + ridge * len(rows) * np.eye(features.shape[1]),
         features.T @ y,
     )
-    weights = (grams @ (to_features @ ridge_rule)).astype(np.float32)
-    return LanguageModel(languages, vocabulary, weights)
+    rule = to_features @ ridge_rule
+    weights = np.zeros((len(vocabulary), len(languages)))
+    for own, root, each in zip(slots, roots, rule, strict=True):
+        weights[np.searchsorted(vocabulary, own)] += each / root
+    return LanguageModel(languages, vocabulary, weights.astype(np.float32))
 
 
 def predicted(docs: DataFrame, model: LanguageModel, *carried: str) -> DataFrame:
@@ -188,8 +198,8 @@ def predicted(docs: DataFrame, model: LanguageModel, *carried: str) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            for at in range(0, rows.num_rows, 128):
-                part = rows.slice(at, 128)
+            for at in range(0, rows.num_rows, BATCH):
+                part = rows.slice(at, BATCH)
                 names, scores = model.predict(part.column("text").to_pylist())
                 columns = [part.column("row"), pa.array(names, pa.string()), pa.array(scores)]
                 yield pa.record_batch(columns, ["row", "lang_pred", "score"])
@@ -226,8 +236,8 @@ def language_stage(docs: DataFrame, least_score: float = 0.1) -> DataFrame:
     @F.arrow_udf("boolean")
     def known(texts: pa.Array) -> pa.Array:
         kept = []
-        for at in range(0, len(texts), 128):
-            names, scores = model.predict(texts.slice(at, 128).to_pylist())
+        for at in range(0, len(texts), BATCH):
+            names, scores = model.predict(texts.slice(at, BATCH).to_pylist())
             kept += [n != UNDETERMINED and s >= least_score for n, s in zip(names, scores, strict=True)]
         return pa.array(kept, pa.bool_())
 

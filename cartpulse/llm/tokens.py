@@ -18,7 +18,7 @@ from functools import lru_cache
 from tokenizers import Tokenizer
 
 END_OF_DOCUMENT = 0
-_GENERATION = 500_000
+_GENERATION = 250_000
 # What str.split() cuts at but the tokenizer may not: such texts go through it whole.
 _OTHER_SPACES = re.compile("[\x1c-\x1f\x85]")
 _PLAIN = re.compile("[\t-\r -~À-ÖØ-öø-ÿ]*")

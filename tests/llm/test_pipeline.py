@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -62,3 +63,19 @@ def test_run_on_tiny_tables(spark, frame, tmp_path, rows):
     docs_of(frame, rows).write.parquet(f"{tmp_path}/documents.parquet")
     found = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {row.doc_id for row in found} <= {i for i, text in rows if text}
+
+
+def test_kernel_values_by_sets():
+    """What the ridge learns from are shared n-grams over the root of both numbers of n-grams."""
+    texts = ["abc abd", "abc", "xyz xyz", "ab ab ab", "hello world"]
+
+    def grams(text):
+        padded = " ".join(text.split())
+        return {padded[i : i + n] for n in (1, 2, 3) for i in range(len(padded) - n + 1)}
+
+    vocabulary = np.unique(np.concatenate([langid.ngram_slots(t) for t in texts]))
+    rows, sizes = langid.presence(texts, vocabulary)
+    for i, a in enumerate(texts):
+        assert sizes[i] == len(grams(a))
+        for j, b in enumerate(texts):
+            assert rows[i] @ rows[j] == len(grams(a) & grams(b))
