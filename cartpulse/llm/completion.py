@@ -8,20 +8,22 @@ once. A branch ends when its waste exceeds what an improvement may waste. Best-f
 solutions, of the whole and of what a node leaves over, are the incumbents.
 
 The search stops when an incumbent meets the lower bound, which proves it optimal, or
-after ``max_nodes`` nodes with the best incumbent. ``width`` bounds the fillings
-looked at per node and the steps of their enumeration. Both bound search effort
-only: every piece is always placed.
+after ``max_nodes`` nodes with the best incumbent. ``width`` bounds the fillings of a
+node. Both bound search effort only: every piece is always placed. With None for both
+the search is exact.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
 
 from cartpulse.llm.bestfit import best_fit_decreasing
 from cartpulse.llm.packing import CAPACITY, Filling, Plan
 
 MAX_NODES = 300
 WIDTH = 16
+TRIED = 20
 
 
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
@@ -72,34 +74,62 @@ def undominated(filling: list[int], room: int, left: dict[int, int]) -> bool:
     return True
 
 
+def _reachable(lengths: list[int], left: dict[int, int], room: int) -> list[int]:
+    """For every place, which sums up to ``room`` the lengths from there on make, as bits."""
+    within = (1 << room + 1) - 1
+    reach = [1]
+    for x in reversed(lengths):
+        bits, n, each = reach[-1], min(left[x], room // x), 1
+        while n:  # 1, 2, 4 ... of them and the rest make any number
+            times = min(each, n)
+            bits |= bits << times * x & within
+            n, each = n - times, 2 * each
+        reach.append(bits)
+    return reach[::-1]
+
+
+def _making(
+    total: int, at: int, lengths: list[int], left: dict[int, int], reach: list[int]
+) -> Iterator[tuple[int, ...]]:
+    """All multisets of the lengths from ``at`` on with this sum, long pieces first."""
+    if not total:
+        yield ()
+        return
+    for i in range(at, len(lengths)):
+        if not reach[i] >> total & 1:
+            return
+        x = lengths[i]
+        for n in range(min(left[x], total // x), 0, -1):
+            rest = total - n * x
+            if reach[i + 1] >> rest & 1:
+                for others in _making(rest, i + 1, lengths, left, reach):
+                    yield (x,) * n + others
+
+
 def fillings(
-    left: dict[int, int], room: int, most_waste: int, width: int
+    left: dict[int, int], room: int, most_waste: int, width: int | None
 ) -> list[tuple[int, ...]]:
-    """Undominated fillings of a room that waste at most ``most_waste``, best first."""
+    """Undominated fillings of a room that waste at most ``most_waste``, least waste first.
+
+    All of them without a ``width``, else the first ``width`` among the first
+    ``TRIED`` times as many that fill the room so far.
+    """
     lengths = sorted((x for x, n in left.items() if n and x <= room), reverse=True)
     if room in left and left[room]:
         return [(room,)]  # fills the room, dominates all others
-    found: list[tuple[int, list[int]]] = []
-    steps = 20 * width
-
-    def extend(at: int, chosen: list[int], free: int) -> None:
-        nonlocal steps
-        steps -= 1
-        if steps < 0 or len(found) >= width:
-            return
-        closed = True
-        for i in range(at, len(lengths)):
-            length = lengths[i]
-            if length <= free and chosen.count(length) < left[length]:
-                closed = False
-                extend(i, [*chosen, length], free - length)
-                if steps < 0 or len(found) >= width:
-                    return
-        if closed and free <= most_waste and undominated(chosen, room, left):
-            found.append((free, chosen))
-
-    extend(0, [], room)
-    return [tuple(chosen) for _, chosen in sorted(found)]
+    reach = _reachable(lengths, left, room)
+    found: list[tuple[int, ...]] = []
+    tried = 0
+    for waste in range(min(most_waste, room) + 1):
+        if not reach[0] >> room - waste & 1:
+            continue
+        for chosen in _making(room - waste, 0, lengths, left, reach):
+            tried += 1
+            if undominated(list(chosen), room, left):
+                found.append(chosen)
+            if width is not None and (len(found) == width or tried == TRIED * width):
+                return found
+    return found
 
 
 def _counted(lengths: tuple[int, ...]) -> Filling:
@@ -109,15 +139,16 @@ def _counted(lengths: tuple[int, ...]) -> Filling:
 def bin_completion(
     counts: dict[int, int],
     capacity: int = CAPACITY,
-    max_nodes: int = MAX_NODES,
-    width: int = WIDTH,
+    max_nodes: int | None = MAX_NODES,
+    width: int | None = WIDTH,
 ) -> Plan:
+    """A plan of the fewest sequences found; the fewest there are without both bounds."""
     best = best_fit_decreasing(counts, capacity)
     bound = lower_bound(counts, capacity)
     total = sum(length * n for length, n in counts.items())
     nodes = 0
     stack = [(dict(counts), 0, [])]
-    while stack and size(best) > bound and nodes < max_nodes:
+    while stack and size(best) > bound and (max_nodes is None or nodes < max_nodes):
         left, used, plan = stack.pop()
         nodes += 1
         rest = sum(length * n for length, n in left.items())
