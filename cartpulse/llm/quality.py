@@ -133,7 +133,9 @@ def fit(
     ).filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
     chosen = known.orderBy(F.xxhash64("doc_id", F.lit(8)), "label").limit(max_labelled)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = with_statistics(source.join(chosen, "doc_id")).select("label", "features")
+    # max_labelled rows at most, so the texts stay where they are
+    sent = F.broadcast(chosen) if max_labelled <= MAX_LABELLED else chosen
+    rows = with_statistics(source.join(sent, "doc_id")).select("label", "features")
     sample = rows.limit(max_labelled).collect()  # repeated ids could double rows
     x = np.array([row["features"] for row in sample]).reshape(-1, len(SIGNS))
     y = np.array([row["label"] for row in sample], dtype=float)
