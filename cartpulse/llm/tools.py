@@ -5,9 +5,10 @@ calls of the same conversation); ``results`` has conv_id, call_id, turn, content
 
 A call is joined with its result by identifier. Its level is 0 without dependencies, else
 one more than the highest of theirs; sorting a conversation by (level, turn, call_id) is
-a topological order. Levels are peeled off round by round, one round for every level
-of the deepest chain. Rows are always spread by conversation *and* call, so a
-conversation that holds a third of all turns stays spread.
+a topological order. Chains are followed by doubling, in log2 of their length rounds;
+only calls with several dependencies take a round for every level among themselves. Rows
+are always spread by conversation *and* call, so a conversation that holds a third of all
+turns stays spread.
 
 Arguments are parsed to variants and checked against the tool's schema. The call is
 serialised as JSON with sorted keys and without white space.
@@ -89,36 +90,100 @@ def _same(left: DataFrame, right: DataFrame, right_id: str = "call_id") -> Colum
     return left["conv_id"].eqNullSafe(right["conv_id"]) & (left["call_id"] == right[right_id])
 
 
+def _key(name: str) -> Column:
+    """A call of a conversation as one text, a null conversation apart from all others."""
+    return F.to_json(F.struct("conv_id", F.col(name).alias("call_id")))
+
+
+def _followed(jumps: DataFrame) -> DataFrame:
+    """(call, at, steps) with ``at`` the end of the chain of single dependencies from a call.
+
+    Every round follows the jumps of the calls reached, so chains of n calls take
+    log2(n) rounds. Who is still on a chain when a round ends none is in or behind a cycle
+    and gets a null.
+    """
+    jumps, before = tables.stored(jumps, "jumps"), None
+    while True:
+        onward = jumps.select(
+            F.col("call").alias("at"), F.col("at").alias("next"), F.col("steps").alias("more")
+        )
+        met = jumps.join(onward, "at", "left")
+        on_chain = met.filter(F.col("next").isNotNull()).count()
+        if on_chain in (0, before):
+            ended = F.col("next").isNull()
+            return met.select("call", F.when(ended, F.col("at")).alias("at"), "steps")
+        before = on_chain
+        further = met.select(
+            "call",
+            F.coalesce("next", "at").alias("at"),
+            (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"),
+        )
+        jumps = tables.stored(further, "jumps")
+
+
 def levels(calls: DataFrame) -> DataFrame:
-    """(conv_id, call_id, level) of every identified call; null in or behind a cycle."""
+    """(conv_id, call_id, level) of every identified call; null in or behind a cycle.
+
+    Chains of calls with one dependency each are followed by doubling. What is left to go
+    through level by level are calls with several dependencies, each tied to the ends of
+    the chains that it hangs on.
+    """
+    identified = calls.filter(F.col("call_id") != "")
     nodes = tables.stored(
-        calls.filter(F.col("call_id") != "").select("conv_id", "call_id").distinct(), "calls"
+        identified.select("conv_id", "call_id", _key("call_id").alias("call")).distinct(), "calls"
     )
-    wanted = (
-        calls.filter(F.col("call_id") != "")
-        .select("conv_id", F.explode("depends_on").alias("needs"), F.col("call_id").alias("by"))
-        .distinct()
+    wanted = identified.select("conv_id", "call_id", F.explode("depends_on").alias("needs"))
+    edges = wanted.select(_key("call_id").alias("call"), _key("needs").alias("needs")).distinct()
+    present = nodes.select(F.col("call").alias("needs"))
+    edges = tables.stored(edges.join(present, "needs", "left_semi"), "dependencies")
+    counted = edges.groupBy("call").agg(F.count("*").alias("n"), F.min("needs").alias("at"))
+    counted = tables.stored(counted, "dependency-counts")
+
+    chained = counted.filter("n = 1").select("call", "at", F.lit(1).cast("long").alias("steps"))
+    ends = tables.stored(_followed(chained), "chains")
+    several = counted.filter("n > 1").select("call")
+    # a call with several dependencies is one level above the end of each one's chain
+    reached = edges.join(several, "call", "left_semi").join(
+        ends.withColumnsRenamed({"call": "needs", "at": "end"}), "needs", "left"
     )
-    known = wanted.join(
-        nodes, wanted["conv_id"].eqNullSafe(nodes["conv_id"]) & (F.col("needs") == nodes["call_id"]),
-        "left_semi",
+    hanging = tables.stored(
+        reached.select(
+            "call",
+            F.when(F.col("steps").isNull(), F.col("needs")).otherwise(F.col("end")).alias("end"),
+            (F.coalesce("steps", F.lit(0)) + 1).alias("steps"),
+        ),
+        "hanging",
     )
-    edges = tables.stored(known, "dependencies")
-    waiting, found, level = nodes, [], 0
-    while True:
-        blocked = edges.select("conv_id", F.col("by").alias("call_id")).distinct()
-        free = tables.stored(waiting.join(blocked, _same(waiting, blocked), "left_anti"), "level")
-        if free.isEmpty():
+    known = tables.stored(
+        nodes.select("call", F.lit(0).cast("long").alias("level")).join(counted, "call", "left_anti"),
+        "levels",
+    )
+    waiting = tables.stored(several, "waiting")
+    while not waiting.isEmpty():
+        below = known.withColumnsRenamed({"call": "end", "level": "below"})
+        measured = (
+            hanging.join(waiting, "call", "left_semi")
+            .join(below, "end", "left")
+            .groupBy("call")
+            .agg(
+                F.max(F.col("below") + F.col("steps")).alias("level"),
+                F.count_if(F.col("below").isNull()).alias("unknown"),
+            )
+        )
+        found = tables.stored(measured.filter("unknown = 0").select("call", "level"), "levels")
+        if found.isEmpty():
             break
-        found.append(free.withColumn("level", F.lit(level)))
-        rest = waiting.join(blocked, _same(waiting, blocked), "left_semi")
-        open_edges = edges.join(free, _same(free, edges, "needs"), "left_anti")
-        waiting, edges = tables.stored(rest, "waiting"), tables.stored(open_edges, "dependencies")
-        level += 1
-    whole = waiting.withColumn("level", F.lit(None).cast("int"))
-    for part in found:
-        whole = whole.unionByName(part)
-    return whole
+        known = tables.stored(known.unionByName(found), "levels")
+        waiting = tables.stored(waiting.join(found, "call", "left_anti"), "waiting")
+
+    bottom = known.withColumnsRenamed({"call": "at", "level": "below"})
+    on_chains = ends.join(bottom, "at", "left").select(
+        "call", (F.col("below") + F.col("steps")).alias("level")
+    )
+    every = known.unionByName(on_chains)
+    return nodes.join(every, "call", "left").select(
+        "conv_id", "call_id", F.col("level").cast("int").alias("level")
+    )
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: Schemas = SCHEMAS) -> DataFrame:
@@ -231,13 +296,12 @@ def calls_of(conversations: DataFrame) -> DataFrame:
     every fourth tool is unknown; calls hang on the one two turns before, in chains
     of four.
     """
-    head = F.substr(F.col("text"), F.lit(1), F.lit(40))
     n = F.coalesce(F.length("text"), F.lit(0))
     usual = F.to_json(
-        F.struct(head.alias("query"), (n % 100).alias("limit"), (n % 2 == 0).alias("exact"))
+        F.struct(F.col("text").alias("query"), (n % 100).alias("limit"), (n % 2 == 0).alias("exact"))
     )
     arguments = (
-        F.when(n % 5 == 0, F.to_json(F.struct(head.alias("query"), F.lit("ten").alias("limit"))))
+        F.when(n % 5 == 0, F.to_json(F.struct(F.col("text").alias("query"), F.lit("ten").alias("limit"))))
         .when(n % 5 == 1, F.to_json(F.struct(n.alias("limit"))))
         .when(n % 5 == 2, F.lit('{"query": '))
         .otherwise(usual)
@@ -267,7 +331,7 @@ def results_of(conversations: DataFrame) -> DataFrame:
         F.col("conv_id").cast("long").alias("conv_id"),
         F.concat(F.lit("call-"), (turn - 1).cast("string")).alias("call_id"),
         turn.cast("long").alias("turn"),
-        F.substr(F.col("text"), F.lit(1), F.lit(80)).alias("content"),
+        F.col("text").alias("content"),
     )
 
 
@@ -279,13 +343,13 @@ TOOLS_SQL = """
 WITH calls AS (
   SELECT conv_id, turn, 'call-' || turn AS call_id,
          ['search', 'lookup', 'calculate', 'translate'][(turn // 2) % 4 + 1] AS name,
-         length(text) AS n, to_json(substr(text, 1, 40)) AS head,
+         length(text) AS n, to_json(text) AS head,
          CASE WHEN turn % 8 >= 2 THEN 'call-' || (turn - 2) END AS needs
   FROM conversations WHERE role = 'assistant'),
 ids AS (SELECT conv_id, call_id, count(*) AS n_calls FROM calls GROUP BY ALL),
 results AS (
   SELECT conv_id, 'call-' || (turn - 1) AS call_id, count(*) AS n_results,
-         min(substr(text, 1, 80)) AS content
+         min(text) AS content
   FROM conversations WHERE role = 'user' GROUP BY ALL),
 edges AS (
   SELECT DISTINCT c.conv_id, c.call_id, c.needs FROM calls c
