@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cartpulse.operators import fact
 from cartpulse.operators.imputation import audit, impute
-from cartpulse.schemas import FACT
+from cartpulse.schemas import FACT, INPUTS
 from tests.conftest import rows_of, ts
 
 
@@ -266,3 +266,39 @@ def test_hot_order_reaches_the_join_as_one_row(spark, inputs_of):
     assert rows_of(lines, "seller_id", "n_items", "order_status") == [("s1", 3_000, "delivered")]
     plan = lines._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Join") < plan.index("Aggregate")  # summed below the join
+
+
+def test_texts_apart_move_as_ids_until_the_last(spark, inputs_of, monkeypatch):
+    tables = {
+        "order_items": [{"order_id": f"o{i // 2}", "order_item_id": i, "price": 1.0} for i in range(12)],
+        "orders": [{"order_id": f"o{i}", "customer_id": "c"} for i in range(6)],
+    }
+    whole = inputs_of(**tables)
+    texts = spark.createDataFrame([(1, "late"), (2, None), (3, "good")], "text_id bigint, review_comment_message string")
+    keys = spark.createDataFrame(
+        [("a", "o0", 1, 1), ("b", "o0", 5, 3), ("c", "o1", 2, 2), ("d", "o2", 3, None), ("e", "o3", 4, 9)],
+        "review_id string, order_id string, review_score int, text_id bigint",
+    ).withColumn("review_creation_date", F.lit(ts("2018-01-01")))
+    reviews = keys.join(texts, "text_id", "left").select(*INPUTS["order_reviews"].fieldNames())
+    given = {name: getattr(whole, name) for name in INPUTS} | {"order_reviews": reviews}
+    inline = fact.Inputs(**given)
+    want = rows_of(fact.item_fact(inline, ingested_date="d"))
+    lines = rows_of(fact.clean_lines(inline, ["product_id"], ["review_comment_message"]))
+    for most in (1 << 20, 0):  # sent to the tasks, or met in a shuffle
+        monkeypatch.setattr(fact, "TEXT_BYTES_TO_SEND", most)
+        apart = fact.Inputs(**given, review_keys=keys, review_texts=texts)
+        assert apart.sends_texts == (most > 0)
+        found = fact.item_fact(apart, ingested_date="d")
+        assert found.columns == fact.item_fact(inline).columns and rows_of(found) == want
+        assert rows_of(fact.clean_lines(apart, ["product_id"], ["review_comment_message"])) == lines
+        newest = rows_of(fact.newest_reviews(apart), "order_id", "review_score", "review_comment_message")
+        assert newest == rows_of(fact.newest_reviews(inline), "order_id", "review_score", "review_comment_message")
+        if most:
+            carried = fact.fact_by_text(apart)
+            assert "text_id" in carried.columns and "review_comment_message" not in carried.columns
+            # texts meet the rows after the last shuffle of these
+            plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+            joins = [line for line in plan if "Join LeftOuter" in line]
+            assert "text_id" in joins[0] and "rightHint=(strategy=broadcast)" in joins[0]
+    with pytest.raises(ValueError, match="together"):
+        fact.Inputs(**given, review_keys=keys)
