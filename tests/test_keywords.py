@@ -6,6 +6,8 @@ from collections import Counter
 import pytest
 
 from cartpulse.operators import keywords as K
+from cartpulse.operators.fact import Inputs
+from cartpulse.schemas import INPUTS
 from tests.conftest import rows_of
 from tests.test_functions import keyword_tokens_by_hand
 
@@ -132,3 +134,28 @@ def test_one_shuffle_for_counts_and_totals(frame):
     scores = K.keyword_scores(corpus(frame, 12))
     scores.collect()
     assert "ReusedExchange" in scores._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cleaned_reviews_clean_a_text_once(spark, inputs_of):
+    given = {name: getattr(inputs_of(), name) for name in INPUTS}
+    texts = spark.createDataFrame([(1, "Muito BOM mesmo"), (2, None), (3, "")], "text_id bigint, review_comment_message string")
+    keys = spark.createDataFrame(
+        [("a", 1), ("b", 1), ("c", 2), ("d", None), ("e", 3), ("f", 9)], "review_id string, text_id bigint"
+    )
+    given["order_reviews"] = keys.join(texts, "text_id", "left").select("review_id", "review_comment_message")
+    apart = Inputs(**given, review_keys=keys, review_texts=texts)
+    found = K.cleaned_reviews(apart)
+    want = rows_of(K.cleaned_reviews(Inputs(**given)), "review_id", "cleaned_text")
+    assert rows_of(found, "review_id", "cleaned_text") == want and len(want) == 3
+    # no text is in the rows that are joined, so none is cleaned once for every review
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("regexp_replace")
+
+
+def test_equal_texts_are_tokenised_once_for_causes(frame):
+    corpus = frame("text string, review_bucket string, weight bigint", [("quero meu dinheiro agora", "negative", n) for n in (1, 2, 4)])
+    found = K.complaint_causes(corpus)
+    assert dict(rows_of(found, "cause", "review_items"))["Refund Issues"] == 7
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    explode = next(i for i, line in enumerate(plan) if "Generate explode" in line)
+    assert any("Aggregate [text" in line for line in plan[explode:])
