@@ -7,6 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from cartpulse.functions.labels import MISSING
 from cartpulse.operators.fact import Inputs
 from cartpulse.plans import catalogue, dashboards, kept
 from cartpulse.plans.mart import LiveMart
@@ -197,3 +198,25 @@ def test_orders_and_keys_without_a_name(spark, tmp_path, inputs_of):
     store.refresh(two, DAYS[1])
     assert rows_of(kept.KeptMart(store).table("category_summary"), "total_orders", "total_revenue", "total_items") == [(2, 4.0, 2)]
     assert rows_of(kept.KeptMart(store).table("daily_summary"), "total_orders", "total_revenue") == [(2, 4.0)]
+
+
+def test_texts_are_stored_once_and_facts_have_their_digest(spark, tmp_path, inputs_of):
+    item = {"order_item_id": 1, "product_id": "p", "seller_id": "s", "price": 1.0, "freight_value": 0.5}
+    day = inputs_of(
+        order_items=[{"order_id": str(i % 4), **item, "order_item_id": i} for i in range(12)],
+        order_reviews=[
+            {"review_id": str(i), "order_id": str(i), "review_score": 1, "review_comment_message": text}
+            for i, text in enumerate(["quebrado quebrado", "quebrado quebrado", None, "atrasado"])
+        ],
+    )
+    store = kept.Store(spark, str(tmp_path), tables=("top_bad_review_words",))
+    store.refresh(day, DAYS[0])
+    folders = list(store.days().values())
+    texts = rows_of(store.read("texts", folders), "review_comment_message")
+    assert texts == [("atrasado",), ("quebrado quebrado",)]
+    stored = store.facts(folders).select("review_comment_message").distinct().collect()
+    assert sorted(len(row[0] or "") for row in stored) == [0, 64, 64]
+    mart = kept.KeptMart(store)
+    assert rows_of(mart.table("top_bad_review_words")) == [("atrasado", 3), ("quebrado", 12)]
+    assert {row[0] for row in rows_of(mart.raw_items("review_comment_message"))} == {None, "atrasado", "quebrado quebrado"}
+    assert {row[0] for row in rows_of(mart.orders("review_comment_message"), "review_comment_message")} == {MISSING, "atrasado", "quebrado quebrado"}
