@@ -153,3 +153,12 @@ def test_shared_folder_is_read_from_the_session(spark, tmp_path):
     session = SimpleNamespace(conf=settings)
     assert scratch.new_folder(session, "x").startswith(f"{tmp_path}/cartpulse-x-")
     assert "cartpulse-x-" in scratch.new_folder(spark, "x")
+
+
+def test_free_text_is_written_to_bounded_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(csvfiles, "ROWS_PER_FILE", 10)
+    rows = spark.range(35).selectExpr("cast(id as string) as order_id", "'a\nb' as review_comment_message")
+    csvfiles.write_csv(rows.coalesce(1), f"{tmp_path}/order_reviews.csv")
+    assert len(list((tmp_path / "order_reviews.csv").glob("*.csv"))) == 4
+    found = csvfiles.read_inputs(spark, str(tmp_path)).order_reviews
+    assert rows_of(found, "order_id", "review_comment_message") == rows_of(rows)
