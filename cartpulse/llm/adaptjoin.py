@@ -37,7 +37,7 @@ are told apart by 64-bit hashes, sets by 128-bit ones.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -357,10 +357,18 @@ def _rooted(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return joined.withColumn("root", F.coalesce("of_root", "node")).drop("of_node", "of_root")
 
 
-def jaccard_groups(docs: DataFrame, words_per_shingle: int = 5) -> tuple[DataFrame, DataFrame]:
+def jaccard_groups(
+    docs: DataFrame,
+    words_per_shingle: int = 5,
+    proposed: Callable[[DataFrame], DataFrame] | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """(rows, groups): every row's ``doc_id``, ``row_key``, ``n`` and ``digest``, and of every
     digest of a set that is not empty the ``root`` of its component and the ``keeper``, the
     row of smallest id, then key.
+
+    ``proposed`` gives pairs (a, b) of the nodes, which are row keys, that another method
+    finds near. They are verified like those of leaders, and the complete join looks for
+    pairs of the components that are left.
     """
     rows = tables.stored(_rows(docs, words_per_shingle), "join-rows")
     firsts = [F.any_value(name).alias(name) for name in (*OF_NODE, "prefix", "bitmap")]
@@ -369,7 +377,12 @@ def jaccard_groups(docs: DataFrame, words_per_shingle: int = 5) -> tuple[DataFra
     nodes = tables.stored(folded.withColumn("node", F.col("keeper.row_key")), "join-nodes")
     postings = shared_postings(nodes)
 
-    led = tables.stored(leader_pairs(postings), "join-led")
+    led = leader_pairs(postings)
+    if proposed is not None:
+        given = proposed(nodes.select("node")).filter("a <> b")
+        ordered = given.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        led = led.unionByName(ordered).distinct()
+    led = tables.stored(led, "join-led")
     links = tables.stored(verified(docs, nodes, led, words_per_shingle), "join-links")
     rooted = tables.stored(_rooted(nodes.select("node"), links), "join-rooted")
 
@@ -397,13 +410,17 @@ def jaccard_components(docs: DataFrame, words_per_shingle: int = 5) -> DataFrame
     )
 
 
-def one_of_each_group(docs: DataFrame, words_per_shingle: int = 5) -> DataFrame:
+def one_of_each_group(
+    docs: DataFrame,
+    words_per_shingle: int = 5,
+    proposed: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """The documents' own columns, one document of each component: smallest id, then key.
 
     Texts without words count as copies of each other here. What is looked for are the
     rows that go, mostly few, so that the texts need no shuffle where these are few.
     """
-    rows, groups = jaccard_groups(docs, words_per_shingle)
+    rows, groups = jaccard_groups(docs, words_per_shingle, proposed)
     keepers = groups.groupBy("root").agg(F.min("keeper").alias("keeper")).select("keeper")
     wordless = rows.filter("n = 0").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("keeper")

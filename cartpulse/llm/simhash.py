@@ -76,7 +76,7 @@ def fingerprints(docs: DataFrame, words_per_shingle: int) -> DataFrame:
 
     source = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.xxhash64("doc_id", "text").alias("row_key"),
+        F.xxhash64(F.col("doc_id").cast("long"), "text").alias("row_key"),
         "text",
     )
     return source.mapInArrow(run, "doc_id bigint, row_key bigint, fp bigint")
@@ -174,10 +174,36 @@ def near_duplicates(
     )
 
 
+def near_rows(
+    docs: DataFrame, nodes: DataFrame, words_per_shingle: int = 3, radius: int = 3, segments: int = 2
+) -> DataFrame:
+    """Pairs (a, b) of the row keys ``node`` whose fingerprints are linked.
+
+    Equal fingerprints are linked by way of the least of their rows, and so are those of
+    linked ones: pairs of representatives and membership.
+    """
+    rows = fingerprints(docs, words_per_shingle).select(F.col("row_key").alias("node"), "fp")
+    known = tables.stored(rows.join(nodes, "node", "left_semi").distinct(), "stage-fingerprints")
+    least = tables.stored(known.groupBy("fp").agg(F.min("node").alias("least")), "stage-index")
+    member = known.join(least, "fp").select(F.col("node").alias("a"), F.col("least").alias("b"))
+    linked = links(least.select("fp"), radius, segments)
+    for side in "ab":
+        own = least.select(F.col("fp").alias(side), F.col("least").alias(f"row_{side}"))
+        linked = linked.join(own, side)
+    between = linked.select(F.col("row_a").alias("a"), F.col("row_b").alias("b"))
+    return member.filter("a <> b").unionByName(between)
+
+
 def dedup_stage(docs: DataFrame, words_per_shingle: int = 5) -> DataFrame:
     """The documents' own columns, one document of each group of similar ones.
 
-    Fingerprints only estimate a similarity, so links come from ``adaptjoin``: all pairs
-    of 4/5 or more of the different shingles, and no others.
+    Multi-index hashing of fingerprints says which documents are near. They only estimate
+    a similarity, so every link is verified in ``adaptjoin`` by the shingles themselves,
+    4/5 or more of the different ones, and its complete join adds the pairs that
+    fingerprints miss.
     """
-    return adaptjoin.one_of_each_group(docs, words_per_shingle)
+
+    def proposed(nodes: DataFrame) -> DataFrame:
+        return near_rows(docs, nodes)
+
+    return adaptjoin.one_of_each_group(docs, words_per_shingle, proposed)

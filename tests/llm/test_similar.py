@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 
-from cartpulse.llm import simhash
+from cartpulse.llm import adaptjoin, simhash
 
 
 def test_stage_keeps_documents_that_share_a_running_line(frame):
@@ -48,3 +48,22 @@ def test_stage_finds_all_pairs_by_brute_force(frame):
     for i, g in enumerate(group):
         first.setdefault(g, i)
     assert sorted(r.doc_id for r in kept) == sorted(first.values())
+
+
+def test_stage_links_by_fingerprints_first(frame, monkeypatch):
+    draw = random.Random(9)
+    words = [f"w{draw.randrange(10**6)}" for _ in range(3000)]
+    near = [*words[:-1], "edit"]
+    assert bin(simhash.fingerprint(" ".join(words), 3) ^ simhash.fingerprint(" ".join(near), 3)).count("1") <= 3
+    # equal fingerprints, but nothing in common: the exact check parts them
+    texts = [" ".join(words), " ".join(near), " ".join(f"x{i}" for i in range(9)), "a b", "c d"]
+    docs = frame("doc_id bigint, text string", list(enumerate(texts)))
+    nodes = adaptjoin.keyed(docs).selectExpr("row_key as node")
+    key = {row.row_key: row.doc_id for row in adaptjoin.keyed(docs).collect()}
+    found = {frozenset((key[r.a], key[r.b])) for r in simhash.near_rows(docs, nodes).collect()}
+    assert found == {frozenset((0, 1))}
+    monkeypatch.setattr(simhash, "fingerprint", lambda text, k: 5)
+    assert simhash.near_rows(docs, nodes).count() == 4
+    # what leaders would find comes from fingerprints, too; either way links are exact
+    monkeypatch.setattr(adaptjoin, "leader_pairs", lambda postings: postings.selectExpr("node as a", "node as b").limit(0))
+    assert sorted(row.doc_id for row in simhash.dedup_stage(docs).collect()) == [0, 2, 3, 4]
