@@ -82,6 +82,28 @@ def test_folds_at_a_time_equal_folds_in_sequence(live, monkeypatch):
     assert found.r2 == pytest.approx(want, rel=1e-9) and found.mean() == pytest.approx(np.mean(want))
 
 
+def test_clusters_work_their_rows_out_once(spark, frame):
+    rows = [(f"c{i}", i % 50, i % 7, float(i % 11)) for i in range(200)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(value):
+        seen.add(1)
+        return value
+
+    told = F.udf(counted, "double").asNondeterministic()
+    models.elbow(frame(CUSTOMERS, rows).withColumn("monetary", told("monetary")), largest_k=3).collect()
+    assert seen.value == len(rows)
+
+
+def test_kept_rows_are_few_tasks_until_they_are_many(spark, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    with models.kept(spark.range(10_000).repartition(100, "id")) as rows:
+        assert rows.rdd.getNumPartitions() <= cores and rows.count() == 10_000
+    monkeypatch.setattr(models, "ROWS_PER_TASK", 500)
+    with models.kept(spark.range(10_000).repartition(100, "id")) as rows:
+        assert rows.count() == 10_000
+
+
 def test_cluster_profile_counts_every_customer(live):
     customers = tables.loyalty_rfm(live)
     profile = models.cluster_profile(customers).collect()
