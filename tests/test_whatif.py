@@ -122,6 +122,34 @@ def test_forest_projection_and_detail(spark):
         assert means[f"avg(predicted_review_{scenario})"] == pytest.approx(row.projected_avg_review, abs=1e-3)
 
 
+def test_every_different_cell_is_scored_once(spark, monkeypatch):
+    """Scores by cells are those of ``transform``, thresholds themselves included."""
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.regression import RandomForestRegressionModel
+    from pyspark.sql import functions as F
+
+    drawn = spark.range(3_000).select(
+        F.round(F.rand(1) * 20).alias("a"), F.rand(2).alias("b"), (F.col("id") % 5).alias("review_score")
+    )
+    rows = models.assemble(drawn, ("a", "b")).cache()
+    model = models.review_forest().setNumTrees(4).setMaxDepth(3).fit(rows)
+    at = [(x, y) for x in models.forest_thresholds(model)[0] for y in models.forest_thresholds(model)[1]]
+    edges = models.assemble(spark.createDataFrame(at, "a double, b double"), ("a", "b"))
+    rows = rows.select("a", "b", "features").unionByName(edges.select("a", "b", "features"))
+    want = sorted(tuple(r) for r in model.transform(rows).select("a", "b", "prediction").collect())
+    scored, transform = [], RandomForestRegressionModel.transform
+
+    def counted(self, df, *more):
+        scored.append(df.count())
+        return transform(self, df, *more)
+
+    monkeypatch.setattr(RandomForestRegressionModel, "transform", counted)
+    values = rows.withColumn("values", vector_to_array("features"))
+    found = models.cell_scores(values, model, {"values": "prediction"}).select("a", "b", "prediction")
+    assert sorted(tuple(r) for r in found.collect()) == want
+    assert sum(scored) < rows.count() / 2
+
+
 def test_bootstrap_interval_is_near_the_normal_one(spark):
     from pyspark.sql import functions as F
 
