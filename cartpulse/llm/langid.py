@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartpulse.llm import tables
+
 UNDETERMINED = "und"
 MAX_TRAINING = 4_000
 LANDMARKS = 256
@@ -123,7 +125,7 @@ def fit(
 ) -> LanguageModel:
     """Learn from the rows for which ``learnable`` holds and text and lang are known."""
     order = F.xxhash64("doc_id", F.lit(10))
-    usable = docs.filter(
+    usable = tables.in_small_batches(docs).filter(
         learnable & F.col("text").rlike(r"\p{L}") & (F.col("lang") != "")
     ).select("text", "lang", order.alias("place"))
     chosen = usable.select("place").orderBy("place").limit(max_training)

@@ -190,7 +190,9 @@ def repeated_lines(
     Documents are dealt into batches by the hash of their row.
     """
     spark = docs.sparkSession
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    source = tables.in_small_batches(docs).select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text"
+    )
     keyed = source.withColumn("row_key", _row_key()).withColumn(
         "batch", F.pmod(F.xxhash64("row_key"), F.lit(batches)).cast("int")
     )

@@ -70,7 +70,9 @@ def pieces(
             if found:
                 yield _batch(found)
 
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    source = tables.in_small_batches(docs).select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text"
+    )
     return source.mapInArrow(run, PIECE)
 
 

@@ -74,7 +74,7 @@ def fingerprints(docs: DataFrame, words_per_shingle: int) -> DataFrame:
                 ["doc_id", "row_key", "fp"],
             )
 
-    source = docs.select(
+    source = tables.in_small_batches(docs).select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.xxhash64(F.col("doc_id").cast("long"), "text").alias("row_key"),
         "text",

@@ -16,6 +16,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartpulse.llm import tables
+
 SEED = 42
 SLOT_BITS = 22
 MARKED = 1 << 18
@@ -68,4 +70,6 @@ def seen_often(marked: np.ndarray, counts: np.ndarray) -> Callable[[np.ndarray],
 
 def keyed(docs: DataFrame) -> DataFrame:
     doc_id = F.col("doc_id").cast("long")
-    return docs.select(doc_id.alias("doc_id"), F.xxhash64(doc_id, "text").alias("row_key"), "text")
+    return tables.in_small_batches(docs).select(
+        doc_id.alias("doc_id"), F.xxhash64(doc_id, "text").alias("row_key"), "text"
+    )
