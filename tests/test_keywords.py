@@ -8,7 +8,8 @@ import pytest
 from cartpulse.operators import keywords as K
 from cartpulse.operators.fact import Inputs
 from cartpulse.schemas import INPUTS
-from tests.conftest import rows_of
+from cartpulse.sources import testtables
+from tests.conftest import SMALL, rows_of
 from tests.test_functions import keyword_tokens_by_hand
 
 REVIEWS = [
@@ -159,3 +160,14 @@ def test_equal_texts_are_tokenised_once_for_causes(frame):
     plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
     explode = next(i for i, line in enumerate(plan) if "Generate explode" in line)
     assert any("Aggregate [text" in line for line in plan[explode:])
+
+
+def test_texts_are_spread_before_any_task_gathers_them(spark):
+    """A file of one row group is one task, which must not sort or fold its texts."""
+    documents = testtables.table(spark, SMALL, "documents")
+    labelled = testtables.labelled_corpus(spark, SMALL)
+    for rows in (testtables._review_texts(documents), K.term_counts(labelled)):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        spread = plan.index("REPARTITION_BY_COL")
+        below = plan[spread : plan.index("FileScan", spread)]
+        assert "Aggregate" not in below and "Sort " not in below
