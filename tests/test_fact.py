@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from cartpulse.operators import fact
 from cartpulse.operators.imputation import audit, impute
 from cartpulse.schemas import FACT, INPUTS
-from tests.conftest import rows_of, ts
+from cartpulse.sources import testtables
+from tests.conftest import SMALL, rows_of, ts
 
 
 def order(key, **values):
@@ -302,3 +303,16 @@ def test_texts_apart_move_as_ids_until_the_last(spark, inputs_of, monkeypatch):
             assert "text_id" in joins[0] and "rightHint=(strategy=broadcast)" in joins[0]
     with pytest.raises(ValueError, match="together"):
         fact.Inputs(**given, review_keys=keys)
+
+
+def test_texts_that_are_not_sent_meet_the_items_last(spark, monkeypatch):
+    """Joined to the reviews they would go through the shuffles of all orders."""
+    monkeypatch.setattr(fact, "TEXT_BYTES_TO_SEND", 0)
+    rows = fact.item_fact(testtables.read_inputs(spark, SMALL), ingested_date="d")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    last_join = next(line for line in plan.splitlines() if "Join " in line)
+    assert "text_id" in last_join
+    sent = testtables.read_inputs(spark, SMALL)
+    monkeypatch.undo()
+    want = rows_of(fact.item_fact(sent, ingested_date="d"))
+    assert rows_of(rows) == want
