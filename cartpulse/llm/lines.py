@@ -27,6 +27,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cartpulse.llm import tables
 from cartpulse.sources import scratch
@@ -114,7 +115,10 @@ class LineRuns:
 
 
 def _union(spark: SparkSession, parts: list[DataFrame]) -> DataFrame:
-    found = spark.createDataFrame([], RUN)
+    # no local list: Spark reads these by Python workers of their own, also an empty one
+    fields = StructType.fromDDL(RUN).fields
+    nulls = [F.lit(None).cast(field.dataType).alias(field.name) for field in fields]
+    found = spark.range(1).select(*nulls).limit(0)
     for part in parts:
         found = found.unionByName(part)
     return found
