@@ -316,3 +316,36 @@ def test_texts_that_are_not_sent_meet_the_items_last(spark, monkeypatch):
     monkeypatch.undo()
     want = rows_of(fact.item_fact(sent, ingested_date="d"))
     assert rows_of(rows) == want
+
+
+def test_texts_are_sized_as_they_lie_and_move_once(spark, monkeypatch):
+    """No shuffle to tell how long they are, and none with the orders."""
+    inputs = testtables.read_inputs(spark, SMALL)
+    monkeypatch.setattr(fact, "may_be_sent", lambda *_: pytest.fail("read by id to be sized"))
+    assert inputs.sends_texts
+    monkeypatch.setattr(fact, "TEXT_BYTES_TO_SEND", 0)
+    unsent = testtables.read_inputs(spark, SMALL)
+    lines = fact.clean_lines(unsent, ["product_id"], ["review_comment_message", "order_status"])
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert "text_id" in next(line for line in plan.splitlines() if "Join " in line)
+    rows = fact.fact_by_text(unsent, ingested_date="d")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    # with the orders' side, the items only after it
+    joins = [line for line in plan.splitlines() if "Join " in line]
+    assert "text_id" not in joins[0] and any("text_id" in line for line in joins)
+    want = rows_of(fact.item_fact(inputs, ingested_date="d"))
+    assert rows_of(rows) == want
+
+
+def test_measures_made_late_are_those_of_the_orders(inputs_of):
+    at = {name: ts(f"2018-01-0{i + 1} 0{i}:30:00") for i, name in enumerate(fact.TIMESTAMPS)}
+    inputs = inputs_of(
+        orders=[{"order_id": "a", **at}, {"order_id": "b"}],
+        order_items=[{"order_id": name, "order_item_id": 1} for name in ("a", "b", "gone", None)],
+    )
+    made = (*fact.MADE_OF_TIMES, "is_late_delivery")
+    alone = fact.item_fact(inputs, ["order_id", *made])
+    whole = fact.item_fact(inputs)
+    assert rows_of(whole, "order_id", *made) == rows_of(alone, "order_id", *made)
+    late = {row.order_id: row.is_late_delivery for row in whole.collect()}
+    assert late == {"a": 0, "b": 0, "gone": None, None: None}
