@@ -79,3 +79,33 @@ def test_kernel_values_by_sets():
         assert sizes[i] == len(grams(a))
         for j, b in enumerate(texts):
             assert rows[i] @ rows[j] == len(grams(a) & grams(b))
+
+
+def test_near_dedup_keeps_one_of_each_group_by_brute_force(frame):
+    """All pairs of all rows, whatever their fingerprints say: no link is left out."""
+    draw = random.Random(7)
+    texts = []
+    for group in range(12):
+        base = words(100 + group, draw.choice((12, 60, 150))).split()
+        for _ in range(6):
+            copy = list(base)
+            for _ in range(draw.choice((0, 0, 1, 2, 4, 8))):
+                copy[draw.randrange(len(copy))] = f"z{draw.randrange(10**6)}"
+            texts.append(" ".join(copy))
+    texts += ["", None, " \n", "one two", "ONE two", "one"]
+    draw.shuffle(texts)
+
+    def shingles(text):
+        split = (text or "").lower().split()
+        return {tuple(split[i : i + 5]) for i in range(max(len(split) - 4, 1))} if split else set()
+
+    sets = [shingles(text) for text in texts]
+    root = list(range(len(texts)))
+    for b in range(len(texts)):
+        for a in range(b):
+            near = sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+            if (near or not sets[a] and not sets[b]) and root[a] != root[b]:
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    kept = simhash.dedup_stage(docs_of(frame, list(enumerate(texts))))
+    assert sorted(row.doc_id for row in kept.collect()) == sorted(set(root))

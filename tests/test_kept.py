@@ -220,3 +220,26 @@ def test_texts_are_stored_once_and_facts_have_their_digest(spark, tmp_path, inpu
     assert rows_of(mart.table("top_bad_review_words")) == [("atrasado", 3), ("quebrado", 12)]
     assert {row[0] for row in rows_of(mart.raw_items("review_comment_message"))} == {None, "atrasado", "quebrado quebrado"}
     assert {row[0] for row in rows_of(mart.orders("review_comment_message"), "review_comment_message")} == {MISSING, "atrasado", "quebrado quebrado"}
+
+
+def test_stored_keys_are_not_sent_by_the_size_of_their_file(spark, tmp_path):
+    """They take many times as much as rows in memory."""
+    store = kept.Store(spark, str(tmp_path))
+    ids = spark.range(400_000).select(F.xxhash64("id").cast("string").alias("order_id"))
+    touched = store.write(ids, "day=1/run=a", "touched")
+    size = sum(f.stat().st_size for f in tmp_path.rglob("*.parquet"))
+    assert size < 10 << 20  # what Spark would send
+    joined = kept._only(spark.range(5).select(F.col("id").cast("string").alias("order_id")), touched, "order_id")
+    assert "BroadcastHashJoin" not in joined._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_newest_of_key_keeps_missing_keys_and_repeated_rows(frame):
+    rows = frame(
+        "a string, b int, _day string, v int",
+        [("x", 1, "1", 1), ("x", 1, "2", 2), ("x", 1, "2", 3), ("x", None, "1", 4), (None, 1, "1", 5), (None, 1, "3", 6)],
+    )
+    found = kept.newest_of_key(rows, ["a", "b"])
+    assert found.columns == rows.columns
+    assert rows_of(found, "v") == [(2,), (3,), (4,), (6,)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan  # the rows are shuffled once
